@@ -20,7 +20,7 @@ from riskloom.operators.ordering import running_sums
 QUARTILES = (0.25, 0.5, 0.75)
 SLICES = 4_096
 # distinct values of one group that may be held together
-HELD_VALUES = 100_000
+HELD_VALUES = 1_000_000
 
 
 def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

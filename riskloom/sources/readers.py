@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 from riskloom import catalog as cat
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Parquet files; a given schema saves the job that would infer it."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 

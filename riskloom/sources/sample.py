@@ -8,9 +8,9 @@ same rows in Spark and in DuckDB. Here k is the order key and c the customer key
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom import catalog as cat
+from riskloom.sources.readers import read_parquet
 
 SAMPLE_SQL = {
     "application_id": "k",
@@ -44,11 +44,11 @@ def sample_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     The join is left without a hint: Spark broadcasts the customer keys only when their
     size allows it, and splits a skewed customer at run time otherwise.
     """
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), "o_totalprice"
-    )
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        F.col("c_custkey").alias("c")
+    orders = read_parquet(
+        spark, f"{sf_dir}/orders.parquet", "o_orderkey bigint, o_custkey bigint, o_totalprice double"
+    ).selectExpr("o_orderkey as k", "o_custkey as c", "o_totalprice")
+    customers = read_parquet(spark, f"{sf_dir}/customer.parquet", "c_custkey bigint").selectExpr(
+        "c_custkey as c"
     )
     rows = orders.join(customers, "c", "left_semi")
     return rows.selectExpr(*[f"{sql} as {name}" for name, sql in SAMPLE_SQL.items()])
