@@ -10,7 +10,7 @@ from pyspark.ml.feature import (
     PCA, ElementwiseProduct, PCAModel, StandardScaler, StandardScalerModel, VectorAssembler,
     VectorSlicer,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -223,9 +223,9 @@ def fit_components(train: DataFrame, size: int, source: str = "scaled") -> Compo
     return Components(model, [1.0 if p >= 0 else -1.0 for p in peak], source)
 
 
-def cumulative_variance(df: DataFrame, components: Components) -> DataFrame:
+def cumulative_variance(spark: SparkSession, components: Components) -> DataFrame:
     """(component, ratio, cumulative), one row per component."""
-    rows = df.sparkSession.createDataFrame(
+    rows = spark.createDataFrame(
         [(i + 1, r) for i, r in enumerate(components.ratios)], "component int, ratio double"
     )
     so_far = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, Window.currentRow)
