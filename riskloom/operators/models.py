@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,80 +127,116 @@ def _margin(scored: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=["__m"], outputCol="margin").transform(margin).drop("__m")
 
 
-def _search(train: DataFrame, estimator, grid: list[dict], folds: int, parallelism: int):
-    """Cross-validate by F1 of class 1 over the given folds and refit the best."""
-    judge = MulticlassClassificationEvaluator(
-        labelCol=LABEL, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0
-    )
-    cv = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=judge,
-        numFolds=folds, foldCol="fold", parallelism=parallelism,
-    )
-    fitted = cv.fit(train)
-    return fitted.bestModel, [float(f) for f in fitted.avgMetrics]
-
-
 def _points(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def search_logreg(train: DataFrame, params, grid: Mapping = cat.GRID_LOGREG) -> Fitted:
-    estimator = CostClassifier("logreg")
-    points = _points(grid)
-    maps = [{estimator.C: p["C"]} for p in points]
-    model, scores = _search(train, estimator, maps, params.folds, params.parallelism)
-    return Fitted("LogisticRegression", points[int(np.argmax(scores))], list(zip(points, scores)), model)
+@dataclass(frozen=True)
+class Family:
+    """A kind of classifier: its estimator, and what a grid point sets on it."""
+
+    name: str
+    grid: Mapping[str, Sequence]
+    build: Callable
+    settings: Callable
+    margin: bool = False  # its score is a margin and needs a probability
+    kernel: bool = False  # it can run on cosine features
 
 
-def search_forest(train: DataFrame, params, grid: Mapping = cat.GRID_FOREST) -> Fitted:
-    estimator = RandomForestClassifier(
+def _forest(params) -> RandomForestClassifier:
+    # more nodes per pass over the rows than the default, for deep trees
+    return RandomForestClassifier(
         featuresCol="pca", labelCol=LABEL, seed=params.seed, featureSubsetStrategy="sqrt",
-        # more nodes per pass over the rows for deep trees
         maxMemoryInMB=1024,
     )
-    points = _points(grid)
-    maps = [
-        {estimator.numTrees: p["n_estimators"], estimator.maxDepth: p["max_depth"] or DEEPEST}
-        for p in points
-    ]
-    model, scores = _search(train, estimator, maps, params.folds, params.parallelism)
-    return Fitted("RandomForest", points[int(np.argmax(scores))], list(zip(points, scores)), model)
 
 
-def search_svm(train: DataFrame, params, grid: Mapping = cat.GRID_SVM) -> Fitted:
-    """Both kernels in one search: the grid also chooses the input column.
+FAMILIES = {
+    f.name: f
+    for f in (
+        Family(
+            "LogisticRegression", cat.GRID_LOGREG,
+            lambda params: CostClassifier("logreg"),
+            lambda e, p: {e.C: p["C"]},
+        ),
+        Family(
+            "RandomForest", cat.GRID_FOREST, _forest,
+            lambda e, p: {e.numTrees: p["n_estimators"], e.maxDepth: p["max_depth"] or DEEPEST},
+        ),
+        Family(
+            "SVM", cat.GRID_SVM,
+            lambda params: CostClassifier("svm", iterations=100),
+            lambda e, p: {
+                e.C: p["C"], e.featuresCol: "fourier" if p["kernel"] == "rbf" else "pca",
+            },
+            margin=True, kernel=True,
+        ),
+    )
+}
 
-    The margin becomes a probability by a logistic fit on it (Platt scaling).
-    """
+
+def _inputs(family: Family, train: DataFrame, params, points: list[dict]):
+    """The rows a family trains on, and the cosine features made for them if any."""
+    if not (family.kernel and any(p["kernel"] == "rbf" for p in points)):
+        return train, None
     fourier = fit_fourier(train, seed=params.seed)
-    rows = fourier.transform(train).persist()
-    try:
-        estimator = CostClassifier("svm", iterations=100)
-        points = _points(grid)
-        column = {"rbf": "fourier", "linear": "pca"}
-        maps = [
-            {estimator.C: p["C"], estimator.featuresCol: column[p["kernel"]]} for p in points
-        ]
-        model, scores = _search(rows, estimator, maps, params.folds, params.parallelism)
-        best = points[int(np.argmax(scores))]
+    return fourier.transform(train), fourier
+
+
+def _finish(family: Family, point: dict, cv, model: Model, rows: DataFrame, fourier) -> Fitted:
+    """Add the logistic fit that turns a margin into a probability (Platt scaling)."""
+    scorer = None
+    if family.margin:
         margins = _margin(model.transform(rows).select(LABEL, "rawPrediction"))
         scorer = LogisticRegression(featuresCol="margin", labelCol=LABEL).fit(margins)
+    used = fourier if family.kernel and point["kernel"] == "rbf" else None
+    return Fitted(family.name, point, cv, model, scorer, used)
+
+
+def fit(name: str, train: DataFrame, params, **point) -> Fitted:
+    """One classifier at one grid point."""
+    family = FAMILIES[name]
+    rows, fourier = _inputs(family, train, params, [point])
+    rows = rows.persist()
+    try:
+        estimator = family.build(params)
+        model = estimator.fit(rows, family.settings(estimator, point))
+        return _finish(family, point, [], model, rows, fourier)
     finally:
         rows.unpersist()
-    return Fitted("SVM", best, list(zip(points, scores)), model, scorer,
-                  fourier if best["kernel"] == "rbf" else None)
 
 
-SEARCHES = {"LogisticRegression": search_logreg, "RandomForest": search_forest, "SVM": search_svm}
+def search(name: str, train: DataFrame, params, grid: Mapping | None = None) -> Fitted:
+    """The best of a family's grid by cross-validated F1 of class 1, refitted.
 
-
-def select_models(prepared: Prepared, params, names: Sequence[str] = tuple(SEARCHES)) -> list[Fitted]:
-    """Search every named family on the prepared training rows."""
-    train = prepared.train.select(cat.KEY, LABEL, "fold", "pca").persist()
+    Fits run ``params.parallelism`` at a time. Both kernels of the SVM are one search: the
+    grid also chooses the input column.
+    """
+    family = FAMILIES[name]
+    points = _points(family.grid if grid is None else grid)
+    rows, fourier = _inputs(family, train, params, points)
+    rows = rows.persist()
     try:
-        return [SEARCHES[name](train, params) for name in names]
+        estimator = family.build(params)
+        judge = MulticlassClassificationEvaluator(
+            labelCol=LABEL, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0
+        )
+        fitted = CrossValidator(
+            estimator=estimator,
+            estimatorParamMaps=[family.settings(estimator, p) for p in points],
+            evaluator=judge, numFolds=params.folds, foldCol="fold", parallelism=params.parallelism,
+        ).fit(rows)
+        scores = [float(m) for m in fitted.avgMetrics]
+        best = points[int(np.argmax(scores))]
+        return _finish(family, best, list(zip(points, scores)), fitted.bestModel, rows, fourier)
     finally:
-        train.unpersist()
+        rows.unpersist()
+
+
+def select_models(prepared: Prepared, params, names: Sequence[str] = tuple(FAMILIES)) -> list[Fitted]:
+    """Search every named family on the prepared training rows."""
+    train = prepared.train.select(cat.KEY, LABEL, "fold", "pca")
+    return [search(name, train, params) for name in names]
 
 
 def predictions(fits: Sequence[Fitted], test: DataFrame) -> DataFrame:

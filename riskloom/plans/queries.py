@@ -392,25 +392,29 @@ def class_counts_resampled(spark, sf_dir):
 # --- models ---------------------------------------------------------------------------
 
 
-def _search_logreg(spark, sf_dir) -> models.Fitted:
-    return _once(
-        "logreg", spark, sf_dir,
-        lambda: models.select_models(_prepared(spark, sf_dir), PARAMS, ["LogisticRegression"])[0],
-    )
+def _training(spark, sf_dir) -> DataFrame:
+    return _prepared(spark, sf_dir).train.select(cat.KEY, "Target", "fold", "pca")
+
 
+def _searched(spark, sf_dir) -> models.Fitted:
+    build = lambda: models.search("LogisticRegression", _training(spark, sf_dir), PARAMS)
+    return _once("logreg search", spark, sf_dir, build)
 
-# one grid point each on the whole training set; the full grids run in the study job
+
+# one grid point each on the whole training set; the study job searches the full grids
 _POINTS = {
-    "logreg": (models.search_logreg, {"C": (0.1,)}),
-    "random_forest": (models.search_forest, {"n_estimators": (50,), "max_depth": (10,)}),
-    "svm_linear": (models.search_svm, {"C": (1.0,), "kernel": ("linear",)}),
-    "svm_rbf": (models.search_svm, {"C": (1.0,), "kernel": ("rbf",)}),
+    "logreg": ("LogisticRegression", {"C": 0.1}),
+    "random_forest": ("RandomForest", {"n_estimators": 50, "max_depth": 10}),
+    "svm_linear": ("SVM", {"C": 1.0, "kernel": "linear"}),
+    "svm_rbf": ("SVM", {"C": 1.0, "kernel": "rbf"}),
 }
 
 
 def _fitted(name, spark, sf_dir) -> models.Fitted:
-    search, grid = _POINTS[name]
-    return _once(name, spark, sf_dir, lambda: search(_prepared(spark, sf_dir).train, PARAMS, grid))
+    family, point = _POINTS[name]
+    return _once(
+        name, spark, sf_dir, lambda: models.fit(family, _training(spark, sf_dir), PARAMS, **point)
+    )
 
 
 def classify(name, spark, sf_dir):
@@ -418,11 +422,11 @@ def classify(name, spark, sf_dir):
 
 
 def grid_search_cv(spark, sf_dir):
-    return models.cv_scores(spark, [_search_logreg(spark, sf_dir)])
+    return models.cv_scores(spark, [_searched(spark, sf_dir)])
 
 
 def predict(spark, sf_dir):
-    return _search_logreg(spark, sf_dir).predict(_prepared(spark, sf_dir).test)
+    return _searched(spark, sf_dir).predict(_prepared(spark, sf_dir).test)
 
 
 def _summary(spark, sf_dir) -> DataFrame:
