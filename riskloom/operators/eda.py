@@ -32,31 +32,16 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], binary: Sequence[str
     others = [c for c in columns if c not in binary]
     parts = []
     if others:
-        summary = numeric_summary(df, others)
         parts.append(
-            summary.select(
+            numeric_summary(df, others).select(
                 "feature", F.col("n").alias("count"), "mean", "std", F.col("low").alias("min"),
                 F.col("quantiles")[0].alias("q25"), F.col("quantiles")[1].alias("q50"),
                 F.col("quantiles")[2].alias("q75"), F.col("high").alias("max"),
             )
         )
     if flags:
-        sums = df.agg(
-            *[F.count(q(c)).alias(f"n{i}") for i, c in enumerate(flags)],
-            *[F.sum(q(c)).alias(f"s{i}") for i, c in enumerate(flags)],
-        )
-        rows = sums.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"),
-                            F.coalesce(f"s{i}", F.lit(0)).cast("double").alias("ones"),
-                        )
-                        for i, c in enumerate(flags)
-                    ]
-                )
-            )
+        sums = long_form(df, flags).groupBy("feature").agg(
+            F.count("*").alias("n"), F.sum("value").alias("ones")
         )
         n, ones = F.col("n"), F.col("ones")
         zeros = n - ones
@@ -65,19 +50,21 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], binary: Sequence[str
             at = (n - 1) * F.lit(p)
             low = (F.floor(at) >= zeros).cast("double")
             high = (F.ceil(at) >= zeros).cast("double")
-            return F.when(n > 0, low + (high - low) * (at - F.floor(at)))
+            return low + (high - low) * (at - F.floor(at))
 
         parts.append(
-            rows.select(
-                "feature", n.alias("count"),
-                F.when(n > 0, ones / n).alias("mean"),
+            sums.select(
+                "feature", n.alias("count"), (ones / n).alias("mean"),
                 F.when(n > 1, F.sqrt(ones * zeros / n / (n - 1))).alias("std"),
-                F.when(n > 0, (zeros == 0).cast("double")).alias("min"),
+                (zeros == 0).cast("double").alias("min"),
                 quantile(0.25).alias("q25"), quantile(0.5).alias("q50"), quantile(0.75).alias("q75"),
-                F.when(n > 0, (ones > 0).cast("double")).alias("max"),
+                (ones > 0).cast("double").alias("max"),
             )
         )
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # a column without any value still has its row, with count 0
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    return names.join(found, "feature", "left").na.fill(0, ["count"])
 
 
 def rounded(df: DataFrame, digits: int = 2) -> DataFrame:

@@ -256,7 +256,7 @@ def prepare(raw: DataFrame, params, key: str = cat.KEY, encoded: Encoded | None
     fill = fit_fill(train, data.inputs)
     # from here on rows are a key, a label and a vector; they are written once, since every
     # later fit reads them
-    rows = settle(packed(split, fill, keep=(key, "Target", "part")))
+    rows = settle(packed(split, fill, keep=(key, "Target", "part")), key)
     train, test = rows.where("part = 'train'").drop("part"), rows.where("part = 'test'").drop("part")
     scaler = fit_vector_scaler(train)
     scaled = scaler.transform(train).drop("raw")

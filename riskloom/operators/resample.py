@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from riskloom.functions.hashing import hash_key, hash_uniform
 from riskloom.operators.ordering import fit_hash_cuts, running_sums
 
-# rows per block: one pair of blocks makes a 32 MB distance matrix
+# rows per block: the distances between two blocks take 32 MB
 BLOCK_ROWS = 2_048
 # majority rows per undersampling cell
 CELL_ROWS = 2_000
@@ -31,25 +31,47 @@ _SPREAD = "grp int, total double"
 # --- nearest neighbours ---------------------------------------------------------------
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances, summed in coordinate order so that reruns agree to the bit."""
-    total = np.zeros((len(a), len(b)))
-    for d in range(a.shape[1]):
-        step = a[:, d, None] - b[None, :, d]
-        total += step * step
-    return total
-
-
 def _sorted_rows(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(pdf["id"].to_numpy(), kind="stable")
     return pdf["id"].to_numpy()[order], np.stack(pdf["x"].to_numpy()[order])
 
 
+def _fast_distances(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Squared distances by one matrix product, and a bound on their rounding error."""
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    bound = 1e-14 * (x.shape[1] + 8) * float(xx.max() + yy.max())
+    return xx[:, None] + yy[None, :] - 2.0 * (x @ y.T), bound
+
+
+def _closest(ids, x, others, y, fast: np.ndarray, bound: float, k: int) -> pd.DataFrame:
+    """The k closest of ``others`` to each of ``ids``, by exact distance, then by id.
+
+    The fast distances only rule out rows too far to matter, with room for their rounding
+    error. The rest are measured coordinate by coordinate, so reruns agree to the bit.
+    """
+    fast = np.where(ids[:, None] == others[None, :], np.inf, fast)
+    reach = np.full(len(ids), np.inf)
+    if fast.shape[1] > k:
+        reach = np.partition(fast, k - 1, axis=1)[:, k - 1] + 2.0 * bound
+    row, col = np.nonzero((fast <= reach[:, None]) & np.isfinite(fast))
+    dist = np.zeros(len(row))
+    for d in range(x.shape[1]):
+        step = x[row, d] - y[col, d]
+        dist += step * step
+    order = np.lexsort((others[col], dist, row))
+    row, col, dist = row[order], col[order], dist[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    kept = place < k
+    return pd.DataFrame(
+        {"id": ids[row[kept]], "neighbour": others[col[kept]], "dist": dist[kept]}
+    )
+
+
 def _block_pairs(points: DataFrame):
-    """Rows (grp, id, x) grouped so that every pair of blocks (a, b) of a group meets once.
+    """Rows (grp, id, x) grouped so that each two blocks a <= b of a group meet once.
 
-    ``first`` tells the rows of block a from those of block b. Each group gets as many
-    blocks as its rows need. The number of groups is small: the clusters, or one.
+    ``own`` is the row's own block. Each group gets as many blocks as its rows need. The
+    number of groups is small: the clusters, or one.
     """
     sizes = points.groupBy("grp").agg(
         F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("blocks")
@@ -57,12 +79,18 @@ def _block_pairs(points: DataFrame):
     blocked = points.join(F.broadcast(sizes), "grp").withColumn(
         "own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     )
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    roles = F.concat(
-        F.transform(every, lambda i: F.struct(F.col("own").alias("a"), i.alias("b"), F.lit(True).alias("first"))),
-        F.transform(every, lambda i: F.struct(i.alias("a"), F.col("own").alias("b"), F.lit(False).alias("first"))),
-    )
-    return blocked.select("grp", "id", "x", F.inline(roles)).groupBy("grp", "a", "b")
+    met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met")
+    return blocked.select("grp", "id", "x", "own", met).select(
+        "grp", "id", "x", "own", F.least("own", "met").alias("a"), F.greatest("own", "met").alias("b")
+    ).groupBy("grp", "a", "b")
+
+
+def _two_blocks(rows: pd.DataFrame):
+    """Both blocks of a pair in id order; the same block twice when a block meets itself."""
+    a, b = rows["a"].iloc[0], rows["b"].iloc[0]
+    first = rows[rows["own"] == a]
+    second = first if a == b else rows[rows["own"] == b]
+    return None if first.empty or second.empty else (a == b, _sorted_rows(first), _sorted_rows(second))
 
 
 def nearest(points: DataFrame, k: int) -> DataFrame:
@@ -74,24 +102,15 @@ def nearest(points: DataFrame, k: int) -> DataFrame:
     """
 
     def pair(rows: pd.DataFrame) -> pd.DataFrame:
-        first = rows["first"].to_numpy()
-        if first.all() or not first.any():
-            return pd.DataFrame({"grp": [], "id": [], "neighbour": [], "dist": []})
-        ids, x = _sorted_rows(rows[first])
-        others, y = _sorted_rows(rows[~first])
-        dist = _distances(x, y)
-        dist[ids[:, None] == others[None, :]] = np.inf
-        # stable on ids in order, so equal distances keep the lower id
-        best = np.argsort(dist, axis=1, kind="stable")[:, :k]
-        found = pd.DataFrame(
-            {
-                "grp": rows["grp"].iloc[0],
-                "id": np.repeat(ids, best.shape[1]),
-                "neighbour": others[best].ravel(),
-                "dist": np.take_along_axis(dist, best, 1).ravel(),
-            }
-        )
-        return found[np.isfinite(found["dist"])]
+        found = pd.DataFrame({"id": [], "neighbour": [], "dist": []})
+        blocks = _two_blocks(rows)
+        if blocks is not None:
+            same, (ids, x), (others, y) = blocks
+            fast, bound = _fast_distances(x, y)
+            found = _closest(ids, x, others, y, fast, bound, k)
+            if not same:
+                found = pd.concat([found, _closest(others, y, ids, x, fast.T, bound, k)])
+        return found.assign(grp=rows["grp"].iloc[0])[["grp", "id", "neighbour", "dist"]]
 
     near = _block_pairs(points).applyInPandas(pair, _NEAR)
     place = F.row_number().over(Window.partitionBy("grp", "id").orderBy("dist", "neighbour"))
@@ -104,12 +123,15 @@ def mean_distance(points: DataFrame) -> DataFrame:
     """(grp, rows, mean_distance) over all pairs of distinct rows of each group."""
 
     def pair(rows: pd.DataFrame) -> pd.DataFrame:
-        first = rows["first"].to_numpy()
-        if first.all() or not first.any():
-            return pd.DataFrame({"grp": [], "total": []})
-        _, x = _sorted_rows(rows[first])
-        _, y = _sorted_rows(rows[~first])
-        return pd.DataFrame({"grp": [rows["grp"].iloc[0]], "total": [np.sqrt(_distances(x, y)).sum()]})
+        total = 0.0
+        blocks = _two_blocks(rows)
+        if blocks is not None:
+            same, (_, x), (_, y) = blocks
+            fast, _ = _fast_distances(x, y)
+            if same:
+                np.fill_diagonal(fast, 0.0)
+            total = np.sqrt(np.maximum(fast, 0.0)).sum() * (1.0 if same else 2.0)
+        return pd.DataFrame({"grp": [rows["grp"].iloc[0]], "total": [float(total)]})
 
     totals = (
         _block_pairs(points).applyInPandas(pair, _SPREAD)

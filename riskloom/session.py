@@ -73,12 +73,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, key: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage.
 
     Iterative fits read their input many times; from files, a lost executor costs a
-    re-read and not a recomputation of everything upstream.
+    re-read and not a recomputation of everything upstream. Input in fewer pieces than
+    there are cores, such as one small file, is spread by key, so that fits use them all.
     """
-    path = scratch_path(df.sparkSession, "settled")
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, key)
+    path = scratch_path(spark, "settled")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
