@@ -44,9 +44,7 @@ def digits(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def scan_raw(spark, sf_dir):
-    path = scratch_path(spark, "raw")
-    _raw(spark, sf_dir).write.parquet(path)
-    return readers.read_parquet(spark, path, cat.KEYED_SCHEMA)
+    return _raw(spark, sf_dir)
 
 
 def scan_csv(spark, sf_dir):
