@@ -7,7 +7,7 @@ the buckets before it, a small table, are added.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -22,8 +22,11 @@ from riskloom.functions.codes import q
 INTEGER_BUCKET = 1 << 16
 # distinct fractional values one bucket should hold
 FRACTION_BUCKET = 50_000
-# leading hex digits of a digest that form its bucket
-HASH_BUCKET_DIGITS = 4
+# hex digits of a digest that each pass of a rank search adds, of the digits it has
+HASH_STEP_DIGITS = 3
+HASH_DIGITS = 32
+# rows a rank search may order at its end
+HASH_ORDERED_ROWS = 100_000
 
 
 def running_sums(
@@ -104,51 +107,73 @@ class HashCuts:
         return F.lit(0) if number is None else number
 
 
-def fit_hash_cuts(df: DataFrame, group: str, digest: Column, ranks: Sequence[Column]) -> HashCuts:
-    """Find, per group, the digests at ``ranks``, expressions over ``size``, its row count.
+def fit_hash_cuts(
+    df: DataFrame, group: str, digest: Column, ranks: Sequence[Callable[[int, object], int]]
+) -> HashCuts:
+    """Find, per group, the digests at ``ranks``, functions of (row count, group value).
 
-    Rows at or below the first cut then number exactly ``ranks[0]``, and so on. Digest
-    prefixes are counted (65,536 at most per group), then only the rows that share a prefix
-    with a wanted rank are ordered; no other row shuffles. The collected result is one row
-    per group and cut, so ``group`` must have few values, such as a class label.
+    Rows at or below the first cut then number exactly the first rank, and so on. One pass
+    counts digest prefixes, 4,096 per group; passes over ever longer prefixes narrow each
+    rank down to a few rows, which alone are ordered. Only the counts and the cuts are
+    collected, so ``group`` must have few values, such as a class label.
     """
-    keyed = df.select(
-        q(group).alias("g"), digest.alias("digest")
-    ).withColumn("prefix", F.substring("digest", 1, HASH_BUCKET_DIGITS))
-    whole = Window.partitionBy("g")
-    ordered = whole.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    located = (
-        keyed.groupBy("g", "prefix")
-        .agg(F.count("*").alias("n"))
-        .select(
-            "g",
-            "prefix",
-            (F.sum("n").over(ordered) - F.col("n")).alias("before"),
-            F.sum("n").over(ordered).alias("upto"),
-            F.sum("n").over(whole).alias("size"),
-        )
-        .select("*", F.posexplode(F.array(*[r.cast("bigint") for r in ranks])).alias("cut", "rank"))
-        # a rank of 0 belongs to the group's first prefix and cuts below every digest
-        .where("(rank > before and rank <= upto) or (rank = 0 and before = 0)")
+    keyed = df.select(q(group).alias("g"), digest.alias("digest"))
+    # (group, prefix) of a cell to the cuts in it and the rows of the group before it
+    open_: dict = {}
+    found: dict = {}
+    length = 0
+    while True:
+        length += HASH_STEP_DIGITS
+        rows = keyed if not found else keyed.where(_in_cells(open_))
+        counts: dict = {}
+        prefix = F.substring("digest", 1, length).alias("prefix")
+        for r in rows.groupBy("g", prefix).agg(F.count("*").alias("n")).collect():
+            counts.setdefault((r["g"], r["prefix"][: length - HASH_STEP_DIGITS]), []).append(
+                (r["prefix"], r["n"])
+            )
+        if not found:
+            for (value, _), cells in counts.items():
+                size = sum(n for _, n in cells)
+                wanted = [int(rank(size, value)) for rank in ranks]
+                found[value] = [""] * len(ranks)
+                open_[value, ""] = ([(c, w) for c, w in enumerate(wanted) if w > 0], 0)
+        narrowed: dict = {}
+        largest = 0
+        for (value, parent), (cuts, before) in open_.items():
+            for cell, n in sorted(counts.get((value, parent), ())):
+                inside = [(c, w) for c, w in cuts if before < w <= before + n]
+                if inside:
+                    narrowed[value, cell] = (inside, before)
+                    largest = max(largest, n)
+                before += n
+        open_ = narrowed
+        if not open_:
+            return HashCuts(group, found)
+        if largest <= HASH_ORDERED_ROWS or length >= HASH_DIGITS:
+            break
+    at = F.row_number().over(Window.partitionBy("g", "prefix").orderBy("digest"))
+    places = {
+        (value, cell, w - before): []
+        for (value, cell), (cuts, before) in open_.items() for _, w in cuts
+    }
+    for (value, cell), (cuts, before) in open_.items():
+        for c, w in cuts:
+            places[value, cell, w - before].append(c)
+    hits = (
+        keyed.where(_in_cells(open_))
+        .select("g", "digest", F.substring("digest", 1, length).alias("prefix"))
+        .withColumn("at", at)
+        .where(F.col("at").isin(sorted({place for _, _, place in places})))
         .collect()
     )
-    found: dict = {row["g"]: [""] * len(ranks) for row in located}
-    wanted = [row for row in located if row["rank"] > 0]
-    if wanted:
-        near = F.lit(False)
-        for value, prefix in {(r["g"], r["prefix"]) for r in wanted}:
-            near = near | (F.col("g").eqNullSafe(F.lit(value)) & (F.col("prefix") == prefix))
-        places = {(r["g"], r["prefix"], r["rank"] - r["before"]): [] for r in wanted}
-        for r in wanted:
-            places[r["g"], r["prefix"], r["rank"] - r["before"]].append(r["cut"])
-        at = F.row_number().over(Window.partitionBy("g", "prefix").orderBy("digest"))
-        hits = (
-            keyed.where(near)
-            .withColumn("at", at)
-            .where(F.col("at").isin(sorted({place for _, _, place in places})))
-            .collect()
-        )
-        for row in hits:
-            for cut in places.get((row["g"], row["prefix"], row["at"]), ()):
-                found[row["g"]][cut] = row["digest"]
+    for r in hits:
+        for c in places.get((r["g"], r["prefix"], r["at"]), ()):
+            found[r["g"]][c] = r["digest"]
     return HashCuts(group, found)
+
+
+def _in_cells(cells) -> Column:
+    test = F.lit(False)
+    for value, prefix in cells:
+        test = test | (F.col("g").eqNullSafe(F.lit(value)) & F.col("digest").startswith(prefix))
+    return test

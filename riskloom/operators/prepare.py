@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -64,10 +65,6 @@ def encode(raw: DataFrame, leak_guard: bool = True, key: str = cat.KEY) -> Encod
 # --- split and folds ------------------------------------------------------------------
 
 
-def split_ranks(test_fraction: float) -> list[Column]:
-    return [F.round(F.col("size") * F.lit(float(test_fraction)))]
-
-
 def stratified_split(
     df: DataFrame, test_fraction: float = 0.2, seed: int = 42,
     label: str = "Target", key: str = cat.KEY, name: str = "part",
@@ -78,7 +75,7 @@ def stratified_split(
     the cut digests are found, marking is a projection.
     """
     digest = hash_key(seed, "split", q(key))
-    cuts = fit_hash_cuts(df, label, digest, split_ranks(test_fraction))
+    cuts = fit_hash_cuts(df, label, digest, [lambda size, _: math.floor(size * test_fraction + 0.5)])
     return df.withColumn(name, F.when(cuts.above(digest) == 0, "test").otherwise("train"))
 
 
@@ -88,7 +85,7 @@ def stratified_folds(
 ) -> DataFrame:
     """Number each row with a fold; the folds of a class differ by one row at most."""
     digest = hash_key(seed, "fold", q(key))
-    ranks = [F.floor(F.col("size") * F.lit(i) / F.lit(folds)) for i in range(1, folds)]
+    ranks = [lambda size, _, i=i: size * i // folds for i in range(1, folds)]
     cuts = fit_hash_cuts(df, label, digest, ranks)
     return df.withColumn(name, cuts.above(digest).cast("int"))
 

@@ -167,11 +167,7 @@ def synthesize(points: DataFrame, quota: dict[int, int], k: int, seed: int) -> D
     )
     chosen = points.where(F.col("grp").isin(list(quota)))
     digest = hash_key(seed, "base", F.col("id"))
-    extra = None
-    for g, n in quota.items():
-        rank = F.lit(n % sizes[g])
-        extra = F.when(F.col("g") == g, rank) if extra is None else extra.when(F.col("g") == g, rank)
-    cuts = fit_hash_cuts(chosen, "grp", digest, [extra])
+    cuts = fit_hash_cuts(chosen, "grp", digest, [lambda size, g: quota[g] % size])
     copies = F.col("each") + (cuts.above(digest) == 0).cast("bigint")
     bases = (
         chosen.join(plan, "grp")

@@ -73,17 +73,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Input in fewer pieces than there are cores, such as one small file, cut by key.
+
+    A Parquet row group is read by one task, and without a shuffle that task would do all
+    the work of every stage up to the next one. Large input is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def settle(df: DataFrame, key: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage.
 
     Iterative fits read their input many times; from files, a lost executor costs a
-    re-read and not a recomputation of everything upstream. Input in fewer pieces than
-    there are cores, such as one small file, is spread by key, so that fits use them all.
+    re-read and not a recomputation of everything upstream.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, key)
-    path = scratch_path(spark, "settled")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(df.sparkSession, "settled")
+    spread(df, key).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

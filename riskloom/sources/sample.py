@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom import catalog as cat
+from riskloom.session import spread
 from riskloom.sources.readers import read_parquet
 
 SAMPLE_SQL = {
@@ -50,7 +51,7 @@ def sample_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read_parquet(spark, f"{sf_dir}/customer.parquet", "c_custkey bigint").selectExpr(
         "c_custkey as c"
     )
-    rows = orders.join(customers, "c", "left_semi")
+    rows = spread(orders, "k").join(customers, "c", "left_semi")
     return rows.selectExpr(*[f"{sql} as {name}" for name, sql in SAMPLE_SQL.items()])
 
 

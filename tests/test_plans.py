@@ -6,8 +6,9 @@ import re
 import pytest
 from conftest import SMALL
 
-from riskloom.operators import eda, features, ordering
+from riskloom.operators import eda, features, ordering, prepare
 from riskloom.plans.queries import registry
+from riskloom.session import spread
 from riskloom.sources.sample import sample_applications
 
 
@@ -34,8 +35,15 @@ def test_no_single_task_sort(name, spark):
 
 
 def test_split_adds_no_shuffle(spark):
-    text = plan(registry()["stratified_split"](spark, SMALL))
-    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+    rows = spark.range(1000).selectExpr("id as application_id", "int(id % 3 = 0) as Target")
+    text = plan(prepare.stratified_folds(prepare.stratified_split(rows)))
+    assert "Exchange" not in text and "Join" not in text
+
+
+def test_large_input_is_not_moved(spark):
+    rows = spark.range(0, 100, 1, 64)
+    assert "Exchange" not in plan(spread(rows, "id"))
+    assert spread(rows.coalesce(1), "id").rdd.getNumPartitions() == 8
 
 
 def test_running_sums_move_rows_once(spark, raw):

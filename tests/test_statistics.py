@@ -50,10 +50,14 @@ def test_fraction_buckets_keep_order(spark, monkeypatch):
     assert [r["upto"] for r in got] == list(range(1, 2001))
 
 
-def test_hash_cuts_are_exact(spark):
+@pytest.mark.parametrize("ordered", [100_000, 3])
+def test_hash_cuts_are_exact(spark, monkeypatch, ordered):
+    monkeypatch.setattr(ordering, "HASH_ORDERED_ROWS", ordered)
+    monkeypatch.setattr(ordering, "HASH_STEP_DIGITS", 1)
     df = spark.range(5000).select("id", (F.col("id") % 3 == 0).cast("int").alias("g"))
     digest = hash_key(7, "t", F.col("id"))
-    cuts = ordering.fit_hash_cuts(df, "g", digest, [F.lit(0), F.lit(17), F.round(F.col("size") * 0.5)])
+    ranks = [lambda n, g: 0, lambda n, g: 17, lambda n, g: int(n * 0.5 + 0.5)]
+    cuts = ordering.fit_hash_cuts(df, "g", digest, ranks)
     got = {(r["g"], r["c"]): r["count"] for r in df.withColumn("c", cuts.above(digest)).groupBy("g", "c").count().collect()}
     assert got == {
         (0, 1): 17, (0, 2): 1650, (0, 3): 1666, (1, 1): 17, (1, 2): 817, (1, 3): 833,
