@@ -81,8 +81,8 @@ def sink_csv(spark, sf_dir):
 
 def sink_table(spark, sf_dir):
     renamed = features.rename(_view(spark, sf_dir))
-    writers.write_table(renamed, "german_credit_features", scratch_path(spark, "features-table"))
-    return readers.read_table(spark, "german_credit_features")
+    writers.write_table(renamed, "named_credit_features", scratch_path(spark, "features-table"))
+    return readers.read_table(spark, "named_credit_features")
 
 
 def view_ddl(spark, sf_dir):
