@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.llm.bitsliced_topk import top_k
 from riskloom.llm.common import table
 from riskloom.llm.substring_dedup import dedup_substrings
+from riskloom.llm.warc import read_records, write_archives
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op4_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, folder = write_archives(table(spark, sf_dir, "pages"))
+    return read_records(index, folder, with_payload=False)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
