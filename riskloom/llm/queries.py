@@ -8,10 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.bitsliced_topk import top_k
 from riskloom.llm.common import table
+from riskloom.llm.packing import pack
 from riskloom.llm.substring_dedup import dedup_substrings
+from riskloom.llm.token_output import read_back, write_shards
 from riskloom.llm.warc import read_records, write_archives
 
 
+def tokenizer_path(name: str) -> str:
+    """The place of a public vocabulary file; every executor has the same ones installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -25,6 +34,15 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(index, folder, with_payload=False)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards, folder = write_shards(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return read_back(shards, folder)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
