@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.llm.bitsliced_topk import top_k
 from riskloom.llm.common import table
 from riskloom.llm.packing import pack
+from riskloom.llm.simhash_dedup import near_duplicates
 from riskloom.llm.substring_dedup import dedup_substrings
 from riskloom.llm.token_output import read_back, write_shards
 from riskloom.llm.warc import read_records, write_archives
@@ -38,6 +39,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards, folder = write_shards(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return read_back(shards, folder)
