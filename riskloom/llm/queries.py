@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.bitsliced_topk import top_k
 from riskloom.llm.common import table
+from riskloom.llm.decontamination import find_leaks
+from riskloom.llm.line_dedup import SQL as LINE_DEDUP_SQL
+from riskloom.llm.line_dedup import dedup_lines
 from riskloom.llm.packing import pack
 from riskloom.llm.simhash_dedup import near_duplicates
 from riskloom.llm.substring_dedup import dedup_substrings
@@ -39,6 +42,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -53,4 +64,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql_texts() -> dict[str, str]:
-    return {}
+    return {"op7_line_dedup": LINE_DEDUP_SQL}
