@@ -59,7 +59,7 @@ def per_worker(name: str, make: Callable):
     return getattr(state, name)
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterable[pa.RecordBatch], column: str | int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose ``column`` (binary or string) holds about ``limit`` bytes."""
     for batch in batches:
         if not batch.num_rows:

@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.llm.bitsliced_topk import top_k
 from riskloom.llm.common import table
 from riskloom.llm.decontamination import find_leaks
+from riskloom.llm.license_scan import document_files, scan_licences
+from riskloom.llm.license_scan import sql as licence_sql
 from riskloom.llm.line_dedup import SQL as LINE_DEDUP_SQL
 from riskloom.llm.line_dedup import dedup_lines
 from riskloom.llm.packing import pack
+from riskloom.llm.quality import score_quality, train
 from riskloom.llm.simhash_dedup import near_duplicates
 from riskloom.llm.substring_dedup import dedup_substrings
 from riskloom.llm.token_output import read_back, write_shards
@@ -29,6 +33,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return score_quality(documents, train(documents, table(spark, sf_dir, "labels")))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licences(document_files(table(spark, sf_dir, "documents")))
+    doc_id = F.element_at(F.split("path", "/"), -1).cast("long")
+    return found.select(doc_id.alias("doc_id"), "path", "licence", "score", "origin", "licence_path")
+
+
 def op4_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -64,4 +79,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql_texts() -> dict[str, str]:
-    return {"op7_line_dedup": LINE_DEDUP_SQL}
+    return {"op3_license_scan": licence_sql(), "op7_line_dedup": LINE_DEDUP_SQL}
