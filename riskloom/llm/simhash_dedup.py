@@ -186,16 +186,22 @@ def near_links(prints: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def components(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """(doc_id, h, fp, component_id) for each row; see ``near_duplicates``. ``h`` is ``text_key``."""
+    """(doc_id, h, fp, component_id, root) for each row; see ``near_duplicates``.
+
+    ``h`` is ``text_key``; root is the same for rows of one component and no others.
+    """
     ready(documents.sparkSession)
     prints = settle(fingerprints(documents, shingle), "fingerprints")
     distinct = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     star = stars(near_links(distinct, bits))
     members = star.select(F.col("u").alias("fp"), F.col("v").alias("root")).unionByName(star.select(F.col("v").alias("fp"), F.col("v").alias("root")).distinct())
     least = members.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("component"))
-    named = members.join(least, "root").select("fp", "component")
-    label = distinct.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return prints.join(label, "fp").select("doc_id", "h", "fp", "component_id")
+    named = members.join(least, "root").select("fp", "root", "component")
+    alone = F.col("root").isNull()
+    label = distinct.join(named, "fp", "left").select(
+        "fp", F.when(alone, F.col("least")).otherwise(F.col("component")).alias("component_id"), F.coalesce("root", "fp").alias("root")
+    )
+    return prints.join(label, "fp").select("doc_id", "h", "fp", "component_id", "root")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
@@ -214,3 +220,19 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, bits: int = BI
     """
     rows = components(documents, shingle, bits)
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """One row of ``documents``, all columns, for each component: that of the smallest doc_id.
+
+    Rows without doc_id come last; rows of one doc_id are ordered by a hash of the text. Of
+    rows that agree in both, one stays.
+    """
+    rows = settle(components(documents, shingle, bits).select("doc_id", "h", "root"), "components")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("_id"), F.col("h").alias("_h")))
+    chosen = rows.groupBy("root").agg(best.alias("best")).select("best._id", "best._h")
+    keyed = documents.withColumn("_key", text_key())
+    kept = keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["_id"]) & (keyed["_key"] == chosen["_h"]), "left_semi")
+    if not rows.groupBy("doc_id", "h").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "_key"])
+    return kept.select(documents.columns)
