@@ -154,7 +154,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
         for row in batch.to_pylist():
             dims, n, bits, low = row["dims"], row["n"], row["bits"], row["low"]
             ids = np.frombuffer(row["ids"], dtype=np.int64)
-            slices = np.frombuffer(row["slices"], dtype=np.uint64).reshape(dims, bits, -1)
+            slices = np.frombuffer(row["slices"], dtype=np.uint64).reshape(dims, bits, -(-n // 64))
             queries = np.frombuffer(row["query_ids"], dtype=np.int64)
             keys = np.frombuffer(row["query_keys"], dtype=np.int64)
             digits = np.frombuffer(row["digits"], dtype=np.int64).reshape(len(queries), dims)

@@ -68,18 +68,17 @@ def dedup_lines(documents: DataFrame, site: str = "source", sites: int = SITES)
       doc_id with different texts are ordered by a hash of the text.
     - An empty table gives an empty result.
     """
-    gone = removed_lines(documents, site, sites).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("gone").alias("_gone"))
     columns = [c for c in documents.columns if c not in ("n_lines", "n_removed")]
-    keyed = documents.select(*columns, text_key().alias("_key"))
-    joined = keyed.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left")
-    lines = F.split("text", "\n")
-    places = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.array_join(F.transform(F.array_except(places, F.col("_gone")), lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
+    # the caller's columns travel in one, so that none of their names matters here
+    keyed = documents.select(F.struct(*columns).alias("doc"), F.col("doc_id").alias("id"), text_key().alias("key"), F.split("text", "\n").alias("lines"))
+    joined = keyed.join(removed_lines(documents, site, sites).hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("h")), "left")
+    places = F.sequence(F.lit(0), F.size("lines") - 1)
+    kept = F.array_join(F.transform(F.array_except(places, F.col("gone")), lambda i: F.get(F.col("lines"), i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("doc.text")).otherwise(kept)
     return joined.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        *[text.alias(c) if c == "text" else F.col(f"doc.`{c}`") for c in columns],
+        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

@@ -150,17 +150,17 @@ class CoTrained:
         return _chance(views[:, 0]), _chance(views[:, 1]), _chance(self.combination.logit(views))
 
 
-def _features(chunk: pa.RecordBatch, at: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Features from the four columns at ``at``: text, lang, source, n_chars."""
-    texts, lang, source, n_chars = (chunk.column(at + i).to_pylist() for i in range(4))
+def _features(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Features from the columns after the first: text, lang, source, n_chars."""
+    texts, lang, source, n_chars = (c.to_pylist() for c in chunk.columns[1:5])
     return text_features(texts), meta_features(lang, source, n_chars, texts)
 
 
-def _viewed(documents: DataFrame, *others) -> DataFrame:
-    """The other columns, then the four that the views read; a missing one is null."""
+def _viewed(documents: DataFrame, first) -> DataFrame:
+    """The column ``first``, then the four that the views read; a missing one is null."""
     there = set(documents.columns)
     wanted = (("text", "binary"), ("lang", "string"), ("source", "string"), ("n_chars", "long"))
-    return documents.select(*others, *[(F.col(c) if c in there else F.lit(None)).cast("string" if t == "binary" else t).cast(t).alias(f"_{c}") for c, t in wanted])
+    return documents.select(first, *[(F.col(c) if c in there else F.lit(None)).cast("string" if t == "binary" else t).cast(t).alias(f"_{c}") for c, t in wanted])
 
 
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,14 +222,14 @@ def score_quality(documents: DataFrame, model: CoTrained, keep_from: float = KEE
     return _viewed(documents, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(lambda it: _score(it, model, keep_from), _SCORES)
 
 
-def _filter(batches: Iterator[pa.RecordBatch], model: CoTrained, keep_from: float, n: int) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches, n):
-        keep = model.scores(*_features(chunk, n))[2] >= keep_from
-        yield chunk.select(range(n)).filter(pa.array(keep))
+def _filter(batches: Iterator[pa.RecordBatch], model: CoTrained, keep_from: float) -> Iterator[pa.RecordBatch]:
+    for chunk in chunks(batches, 1):
+        keep = model.scores(*_features(chunk))[2] >= keep_from
+        yield pa.RecordBatch.from_struct_array(chunk.column(0).filter(pa.array(keep)))
 
 
 def keep_good(documents: DataFrame, model: CoTrained, keep_from: float = KEEP_FROM) -> DataFrame:
     """The rows of ``documents``, all columns, whose score is ``keep_from`` or more."""
     ready(documents.sparkSession)
-    n = len(documents.columns)
-    return _viewed(documents, *documents.columns).mapInArrow(lambda it: _filter(it, model, keep_from, n), documents.schema)
+    # the caller's columns travel in one, so that none of their names matters here
+    return _viewed(documents, F.struct(*documents.columns).alias("doc")).mapInArrow(lambda it: _filter(it, model, keep_from), documents.schema)

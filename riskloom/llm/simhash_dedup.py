@@ -229,10 +229,11 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) ->
     rows that agree in both, one stays.
     """
     rows = settle(components(documents, shingle, bits).select("doc_id", "h", "root"), "components")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("_id"), F.col("h").alias("_h")))
-    chosen = rows.groupBy("root").agg(best.alias("best")).select("best._id", "best._h")
-    keyed = documents.withColumn("_key", text_key())
-    kept = keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["_id"]) & (keyed["_key"] == chosen["_h"]), "left_semi")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("best_id"), F.col("h").alias("best_h")))
+    chosen = rows.groupBy("root").agg(best.alias("best")).select("best.best_id", "best.best_h")
+    # the caller's columns travel in one, so that none of their names matters here
+    keyed = documents.select(F.struct(*documents.columns).alias("doc"), F.col("doc_id").alias("id"), text_key().alias("key"))
+    kept = keyed.join(chosen, F.col("id").eqNullSafe(F.col("best_id")) & (F.col("key") == F.col("best_h")), "left_semi")
     if not rows.groupBy("doc_id", "h").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_key"])
-    return kept.select(documents.columns)
+        kept = kept.dropDuplicates(["id", "key"])
+    return kept.select("doc.*")
