@@ -11,8 +11,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import ready, settle, text_key
@@ -57,6 +59,12 @@ class Templates:
                     break
                 needed.add(t)
                 left -= (counts[k][t] * self.idf[t]) ** 2
+        # by Cauchy-Schwarz, a match shares terms of at least this part of the template's squared length
+        self.shares: dict[str, tuple[list[str], int]] = {}
+        for k in self.names:
+            parts = sorted(((c * self.idf[t]) ** 2 for t, c in counts[k].items()), reverse=True)
+            least = next(m for m in range(1, len(parts) + 1) if sum(parts[:m]) >= (threshold * norm[k]) ** 2 * (1 - 1e-9))
+            self.shares[k] = sorted(counts[k]), least
         self.needed = f"(^|[^a-z0-9])({'|'.join(sorted(needed))})([^a-z0-9]|$)"
 
     def rows(self) -> str:
@@ -67,13 +75,33 @@ class Templates:
         return "term, idf, " + ", ".join(f"w{i}" for i in range(len(self.names)))
 
 
-def licence_lines(files: DataFrame, templates: Templates) -> DataFrame:
-    """(path, h, pos, score, nth): lines that match a template, and which of the names it is."""
-    spark = files.sparkSession
-    some = files.where(F.lower("text").rlike(templates.needed)).select("path", text_key().alias("h"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    terms = some.where(F.lower("line").rlike(templates.needed)).select(
-        "path", "h", "pos", F.explode(F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))).alias("term")
+def candidates(files: DataFrame, templates: Templates) -> DataFrame:
+    """(path, h, dir, lines, found): files, and the terms of their lines that may match.
+
+    One pass over the texts. lines counts those that aren't blank, in files with any term that
+    a match needs; found keeps lines that share enough different terms with a template.
+    """
+
+    def terms(line: Column) -> Column:
+        return F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
+
+    def may_match(line: Column) -> Column:
+        return reduce(or_, [F.size(F.array_intersect(line["terms"], F.lit(t))) >= least for t, least in templates.shares.values()])
+
+    every = F.transform(F.split("text", "\n"), lambda line, i: F.struct(i.alias("pos"), terms(line).alias("terms")))
+    hit = F.lower("text").rlike(templates.needed)
+    return files.select(
+        "path", text_key().alias("h"), F.regexp_replace("path", "/?[^/]*$", "").alias("dir"),
+        F.when(hit, F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))).alias("lines"),
+        F.when(hit, F.filter(every, may_match)).alias("found"),
     )
+
+
+def licence_lines(placed: DataFrame, templates: Templates) -> DataFrame:
+    """(path, h, pos, score, nth): lines that match a template, and which of the names it is."""
+    spark = placed.sparkSession
+    some = placed.where(F.size("found") > 0).select("path", "h", F.explode("found").alias("line"))
+    terms = some.select("path", "h", "line.pos", F.explode("line.terms").alias("term"))
     tf = terms.groupBy("path", "h", "pos", "term").agg(F.count("*").cast("double").alias("tf"))
     # a row for each term of the templates
     vocabulary = F.broadcast(spark.sql(f"select * from values {templates.rows()} as t({templates.columns()})"))
@@ -89,10 +117,10 @@ def licence_lines(files: DataFrame, templates: Templates) -> DataFrame:
     )
 
 
-def _own(files: DataFrame, templates: Templates) -> DataFrame:
+def _own(placed: DataFrame, templates: Templates) -> DataFrame:
     """(path, h, score, nth, n): the best licence line of each file, and how many it has."""
     best = F.max(F.struct("score", (-F.col("nth")).alias("turn"), (-F.col("pos")).alias("place")))
-    found = licence_lines(files, templates).groupBy("path", "h").agg(best.alias("b"), F.count("*").alias("n"))
+    found = licence_lines(placed, templates).groupBy("path", "h").agg(best.alias("b"), F.count("*").alias("n"))
     return found.select("path", "h", F.col("b.score").alias("score"), (-F.col("b.turn")).alias("nth"), "n")
 
 
@@ -111,17 +139,13 @@ def scan_licences(files: DataFrame, templates: dict[str, str] | None = None, thr
     - Repeated rows are each returned. Files of one path with different texts are told apart.
     - An empty table gives an empty result.
     """
-    spark = ready(files.sparkSession)
+    ready(files.sparkSession)
     known = Templates(templates or TEMPLATES, threshold)
     names = F.array(*[F.lit(n) for n in known.names])
     files = files.select(F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
-    own = settle(_own(files, known), "licences")
-    upper = F.regexp_replace("path", "/?[^/]*$", "")
-    slim = files.select(
-        "path", text_key().alias("h"), upper.alias("dir"),
-        F.when(F.lower("text").rlike(known.needed), F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))).alias("lines"),
-    )
-    placed = settle(slim, "licence-files")
+    placed = settle(candidates(files, known), "licence-files")
+    own = settle(_own(placed, known), "licences")
+    placed = placed.drop("found")
     named = placed.where("lines is not null and path is not null").join(own.hint("shuffle_hash"), ["path", "h"]).where(F.col("n") * 2 >= F.col("lines"))
     holders = named.groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("minus"), "path", "nth")).alias("holder"))
     parts = F.split("dir", "/")
