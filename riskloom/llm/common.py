@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from riskloom.session import scratch_path
 
-CHUNK_BYTES = 8 << 20  # text handled at once in a task; one longer text is handled alone
-MAX_BATCH_BYTES = 32 << 20
+CHUNK_BYTES = 4 << 20  # text handled at once in a task; one longer text is handled alone
+MAX_BATCH_BYTES = 16 << 20
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 

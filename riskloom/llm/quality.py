@@ -28,6 +28,8 @@ KEEP_FROM = 0.5
 #: Kinds of bytes: lower case, capitals, digits, spaces, line ends, and marks by their use.
 _KINDS = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", "\n\r", ".,;:", "!?", "%$#&*@^~", "|/\\_<>=+", "'\"()[]{}-"]
 WORD_BUCKETS = 256
+CHUNK_BYTES = 2 << 20
+WINDOW_BYTES = 1 << 18
 SHAPE = 4  # words said twice running, words, bytes a word, shortness
 META = 8 + 64 + 6
 
@@ -35,7 +37,7 @@ _SCORES = "doc_id long, text_score double, metadata_score double, score double,
 
 
 def _kind_of() -> np.ndarray:
-    out = np.full(256, len(_KINDS), dtype=np.int64)
+    out = np.full(256, len(_KINDS), dtype=np.int8)
     for i, chars in enumerate(_KINDS):
         out[[ord(c) for c in chars]] = i
     return out
@@ -46,12 +48,14 @@ def text_features(texts: list[bytes | None]) -> np.ndarray:
     kinds = len(_KINDS) + 1
     parts = [t or b"" for t in texts]
     size = np.asarray([len(p) for p in parts])
+    ends = np.cumsum(size)
     kind = _kind_of()[np.frombuffer(b"".join(parts), dtype=np.uint8)]
-    text = np.repeat(np.arange(len(parts)), size)
     pairs = np.zeros(len(parts) * kinds * kinds)
-    if len(kind) > 1:
-        same = text[1:] == text[:-1]
-        pairs = np.bincount((text[1:] * kinds * kinds + kind[:-1] * kinds + kind[1:])[same], minlength=len(parts) * kinds * kinds)
+    for at in range(0, len(kind) - 1, WINDOW_BYTES):  # a window at a time, to hold little
+        stop = min(at + WINDOW_BYTES + 1, len(kind))
+        text = np.repeat(np.arange(len(parts), dtype=np.int32), np.clip(ends, at, stop) - np.clip(ends - size, at, stop))
+        code = text[1:] * np.int32(kinds * kinds) + kind[at : stop - 1] * np.int32(kinds) + kind[at + 1 : stop]
+        pairs += np.bincount(code[text[1:] == text[:-1]], minlength=len(pairs))
     words = Words(parts)
     n = np.diff(words.first)
     values, owner = words.hashes(), np.repeat(np.arange(len(parts)), n)
@@ -164,7 +168,7 @@ def _viewed(documents: DataFrame, first) -> DataFrame:
 
 
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches, 1):
+    for chunk in chunks(batches, 1, CHUNK_BYTES):
         text, meta = _features(chunk)
         yield pa.RecordBatch.from_arrays(
             [chunk.column("doc_id"), pa.array([np.concatenate(r).tobytes() for r in zip(text, meta)], pa.binary())], ["doc_id", "x"]
@@ -199,7 +203,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", label
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: CoTrained, keep_from: float) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches, 1):
+    for chunk in chunks(batches, 1, CHUNK_BYTES):
         by_text, by_meta, both = model.scores(*_features(chunk))
         yield pa.RecordBatch.from_arrays(
             [chunk.column("doc_id"), pa.array(by_text), pa.array(by_meta), pa.array(both), pa.array(both >= keep_from)],
@@ -223,7 +227,7 @@ def score_quality(documents: DataFrame, model: CoTrained, keep_from: float = KEE
 
 
 def _filter(batches: Iterator[pa.RecordBatch], model: CoTrained, keep_from: float) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches, 1):
+    for chunk in chunks(batches, 1, CHUNK_BYTES):
         keep = model.scores(*_features(chunk))[2] >= keep_from
         yield pa.RecordBatch.from_struct_array(chunk.column(0).filter(pa.array(keep)))
 

@@ -30,6 +30,7 @@ WINDOW = 20
 SEED_WORDS = 3
 LONGEST_RUN = 256  # windows in one super-k-mer at most
 BUCKETS_PER_PIECE = 8
+CHUNK_BYTES = 8 << 20  # larger blocks of strings pack better
 
 _PACKED = "bucket long, strings binary, places binary"
 _RANGES = "doc_id long, h long, a long, b long"
@@ -59,7 +60,7 @@ def _super_kmers(
     batches: Iterator[pa.RecordBatch], window: int, size: int, hot: np.ndarray, buckets: int
 ) -> Iterator[pa.RecordBatch]:
     compress = zstandard.ZstdCompressor(level=1).compress
-    for chunk in chunks(batches, "text"):
+    for chunk in chunks(batches, "text", CHUNK_BYTES):
         chunk = chunk.sort_by([("doc_id", "ascending"), ("h", "ascending")])
         ids, keys = (np.asarray(chunk.column(c), dtype=np.int64) for c in ("doc_id", "h"))
         words = Words(chunk.column("text").to_pylist())

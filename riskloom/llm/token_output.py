@@ -29,6 +29,7 @@ MAGIC = b"RPG1"
 HEAD = "<4sIQQII"  # magic, bytes a symbol, documents, symbols, first nonterminal, rules
 RULES_AT_ONCE = 4096
 ROUNDS = 4
+SHARD_BYTES = 8 << 20  # of text
 LEAST_COUNT = 8  # a rule takes 12 bytes and saves a symbol at each place
 
 _SHARDS = "part int, file string, base long, n_docs long, n_tokens long"
@@ -175,7 +176,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
     terminals = max(encoder.whole.get_vocab_size(), end_id + 1)
     fs, base = pafs.FileSystem.from_uri(folder)
     part, before = TaskContext.get().partitionId(), 0
-    for chunk in chunks(batches, "text"):
+    for chunk in chunks(batches, "text", SHARD_BYTES):
         ids, counts = encoder.encode(chunk.column("text").to_pylist())
         ids, counts = with_end(ids, counts, end_id)
         name = f"{part:08d}-{before:014d}-{uuid.uuid4().hex}.rpg"  # a retried task writes another file
