@@ -16,7 +16,7 @@ import numpy as np
 MARKS = ".,!?;:%$#&*|()[]{}\"-_=+/\\@^~`<>"  # no letters, digits, white space or apostrophes
 #: The pattern of the tokenizer kind whose white space is dropped.
 DROPPING = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000  # in each of two generations
 
 
 class Encoder:
@@ -30,15 +30,23 @@ class Encoder:
         self.kind = _kind(said)
         self.special = [t["content"] for t in said["added_tokens"]]
         self.cache: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}  # words not met since the cache was last full
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
         if len(self.cache) > CACHE_WORDS:
-            self.cache = {"": b""}
+            self.older, self.cache = self.cache, {"": b""}
         out = []
         whole = []
         words = [self._words(t or "") for t in texts]
-        self._learn({w for ws in words if ws is not None for w in ws}.difference(self.cache))
+        new = set()
+        for ws in words:
+            if ws is not None:
+                new.update(ws)
+        new.difference_update(self.cache)
+        met = new.intersection(self.older)
+        self.cache.update((w, self.older[w]) for w in met)
+        self._learn(new - met)
         known = self.cache.__getitem__
         for i, ws in enumerate(words):
             if ws is None:
