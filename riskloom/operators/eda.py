@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from riskloom import catalog as cat
@@ -283,13 +284,11 @@ def qq_points(df: DataFrame, features: Sequence[str] = STUDIED) -> DataFrame:
     Places come from running sums over distinct values. A value shared by many rows is
     split into runs of places before the runs unfold, so no task unfolds all of them.
     """
-    integers = df.select(*[q(f).cast("bigint").alias(f) for f in features])
-    if any(df.schema[f].dataType.typeName() in ("double", "float") for f in features):
-        rows = long_form(df, features)
-        counted = with_bucket(value_counts(rows, ["feature"], "value"), "value")
-    else:
-        rows = integers.unpivot([], [q(f) for f in features], "feature", "value")
-        counted = with_bucket(value_counts(rows, ["feature"], "value"), "value")
+    whole = all(isinstance(df.schema[f].dataType, T.IntegralType) for f in features)
+    rows = df.select(*[q(f).cast("bigint" if whole else "double").alias(f) for f in features]).unpivot(
+        [], [q(f) for f in features], "feature", "value"
+    ).where(F.col("value").isNotNull())
+    counted = with_bucket(value_counts(rows, ["feature"], "value"), "value")
     placed = running_sums(counted, ["feature"], "bucket", "value", {"upto": "n"})
     sizes = counted.groupBy("feature").agg(F.sum("n").alias("size"))
     runs = (

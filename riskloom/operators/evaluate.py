@@ -96,7 +96,10 @@ def pr_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     tp0, fp0 = tp - F.col("hits"), fp - F.col("misses")
     precision = tp / (tp + fp)
     before = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(1.0)
-    area = (F.col("hits") / F.col("positives")) * (precision + before) / 2.0
+    # without positives recall is 1 from the first score on, as in the curve
+    first = F.when(tp0 + fp0 == 0, 1.0).otherwise(0.0)
+    gained = F.when(F.col("positives") > 0, F.try_divide(F.col("hits"), F.col("positives"))).otherwise(first)
+    area = gained * (precision + before) / 2.0
     return placed.groupBy(*by).agg(F.sum(area).alias("pr_auc"))
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -30,7 +32,6 @@ from riskloom.operators.prepare import Prepared
 LABEL = "Target"
 # Spark's deepest tree, standing for a tree without a depth limit
 DEEPEST = 30
-FOURIER_SIZE = 256
 
 
 class CostClassifier(Estimator, HasFeaturesCol, HasLabelCol):
@@ -45,6 +46,7 @@ class CostClassifier(Estimator, HasFeaturesCol, HasLabelCol):
     def __init__(self, kind: str, features: str = "pca", label: str = LABEL, iterations: int = 1000):
         super().__init__()
         self.kind, self.iterations = kind, iterations
+        self.tolerance = {"logreg": 1e-4, "svm": 1e-3}[kind]  # the usual ones of these kinds
         self._setDefault(C=1.0)
         self._set(featuresCol=features, labelCol=label)
 
@@ -52,10 +54,14 @@ class CostClassifier(Estimator, HasFeaturesCol, HasLabelCol):
         settings = dict(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
             regParam=1.0 / (self.getOrDefault(self.C) * dataset.count()),
-            maxIter=self.iterations, standardization=False,
+            maxIter=self.iterations, tol=self.tolerance, standardization=False,
         )
         kind = LogisticRegression if self.kind == "logreg" else LinearSVC
-        return kind(**settings).fit(dataset)
+        model = kind(**settings).fit(dataset)
+        taken = (model.summary if self.kind == "logreg" else model.summary()).totalIterations
+        if taken >= self.iterations:
+            warnings.warn(f"{self.kind} stopped after {taken} iterations without converging", stacklevel=2)
+        return model
 
 
 @dataclass(frozen=True)
@@ -82,7 +88,7 @@ class FourierFeatures:
         return df.withColumn(name, array_to_vector(project(vector_to_array(source))))
 
 
-def fit_fourier(train: DataFrame, size: int = FOURIER_SIZE, seed: int = 42, source: str = "pca") -> FourierFeatures:
+def fit_fourier(train: DataFrame, size: int = 256, seed: int = 42, source: str = "pca") -> FourierFeatures:
     """Kernel width 1 / (dimensions x variance of all inputs), the usual default."""
     row = train.select(
         Summarizer.metrics("mean", "variance", "count").summary(F.col(source)).alias("s")
@@ -156,7 +162,7 @@ FAMILIES = {
     for f in (
         Family(
             "LogisticRegression", cat.GRID_LOGREG,
-            lambda params: CostClassifier("logreg"),
+            lambda params: CostClassifier("logreg", iterations=params.linear_iterations),
             lambda e, p: {e.C: p["C"]},
         ),
         Family(
@@ -165,7 +171,7 @@ FAMILIES = {
         ),
         Family(
             "SVM", cat.GRID_SVM,
-            lambda params: CostClassifier("svm", iterations=100),
+            lambda params: CostClassifier("svm", iterations=params.linear_iterations),
             lambda e, p: {
                 e.C: p["C"], e.featuresCol: "fourier" if p["kernel"] == "rbf" else "pca",
             },
@@ -179,16 +185,23 @@ def _inputs(family: Family, train: DataFrame, params, points: list[dict]):
     """The rows a family trains on, and the cosine features made for them if any."""
     if not (family.kernel and any(p["kernel"] == "rbf" for p in points)):
         return train, None
-    fourier = fit_fourier(train, seed=params.seed)
+    fourier = fit_fourier(train, params.fourier_size, params.seed)
     return fourier.transform(train), fourier
 
 
-def _finish(family: Family, point: dict, cv, model: Model, rows: DataFrame, fourier) -> Fitted:
-    """Add the logistic fit that turns a margin into a probability (Platt scaling)."""
+def _finish(family: Family, estimator, point: dict, cv, model: Model, rows: DataFrame, fourier, folds: int) -> Fitted:
+    """Add the logistic fit that turns a margin into a probability (Platt scaling).
+
+    It is fitted on margins of rows that the model giving them hasn't seen: each fold's
+    margins come from a fit on the other folds.
+    """
     scorer = None
     if family.margin:
-        margins = _margin(model.transform(rows).select(LABEL, "rawPrediction"))
-        scorer = LogisticRegression(featuresCol="margin", labelCol=LABEL).fit(margins)
+        held = []
+        for i in range(folds):
+            part = estimator.fit(rows.where(F.col("fold") != i), family.settings(estimator, point))
+            held.append(_margin(part.transform(rows.where(F.col("fold") == i)).select(LABEL, "rawPrediction")))
+        scorer = LogisticRegression(featuresCol="margin", labelCol=LABEL).fit(reduce(DataFrame.unionByName, held))
     used = fourier if family.kernel and point["kernel"] == "rbf" else None
     return Fitted(family.name, point, cv, model, scorer, used)
 
@@ -201,7 +214,7 @@ def fit(name: str, train: DataFrame, params, **point) -> Fitted:
     try:
         estimator = family.build(params)
         model = estimator.fit(rows, family.settings(estimator, point))
-        return _finish(family, point, [], model, rows, fourier)
+        return _finish(family, estimator, point, [], model, rows, fourier, params.folds)
     finally:
         rows.unpersist()
 
@@ -228,11 +241,17 @@ def search(name: str, train: DataFrame, params, grid: Mapping | None = None) ->
         ).fit(rows)
         scores = [float(m) for m in fitted.avgMetrics]
         best = points[int(np.argmax(scores))]
-        return _finish(family, best, list(zip(points, scores)), fitted.bestModel, rows, fourier)
+        return _finish(family, estimator, best, list(zip(points, scores)), fitted.bestModel, rows, fourier, params.folds)
     finally:
         rows.unpersist()
 
 
+def best_of(fits: Sequence[Fitted]) -> Fitted:
+    """The fit with the highest cross-validated score, with the grid points of all of them."""
+    winner = max(fits, key=lambda f: max(s for _, s in f.cv))
+    return replace(winner, cv=[point for f in fits for point in f.cv])
+
+
 def select_models(prepared: Prepared, params, names: Sequence[str] = tuple(FAMILIES)) -> list[Fitted]:
     """Search every named family on the prepared training rows."""
     train = prepared.train.select(cat.KEY, LABEL, "fold", "pca")

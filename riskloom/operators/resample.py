@@ -152,16 +152,19 @@ def synthesize(points: DataFrame, quota: dict[int, int], k: int, seed: int) -> D
 
     ``quota`` says how many each group gets. As in Chawla et al., 2002, every row of a
     group serves as base equally often; which rows serve once more is drawn by hash, as
-    are neighbour and position on the segment.
+    are neighbour and position on the segment. A group with a quota needs k + 1 rows.
     """
     sizes = {r["grp"]: r["count"] for r in points.groupBy("grp").count().collect()}
-    quota = {g: n for g, n in quota.items() if n > 0 and sizes.get(g, 0) > 1}
+    quota = {g: n for g, n in quota.items() if n > 0}
+    short = {g: sizes.get(g, 0) for g in quota if sizes.get(g, 0) <= k}
+    if short:
+        raise ValueError(f"{k} neighbours need {k + 1} rows in a group; rows by group: {short}")
     if not quota:
         return points.where("false").select("grp", "id", F.lit(0).alias("copy"), "x")
     spark = points.sparkSession
     plan = F.broadcast(
         spark.createDataFrame(
-            [(g, n // sizes[g], n % sizes[g], min(k, sizes[g] - 1)) for g, n in quota.items()],
+            [(g, n // sizes[g], n % sizes[g], k) for g, n in quota.items()],
             "grp int, each bigint, extra bigint, reach int",
         )
     )
@@ -223,7 +226,7 @@ def largest_remainders(total: int, weights: Sequence[float]) -> list[int]:
 
 def cluster_smote(
     points: DataFrame, vectors: str, label: str = "Target", clusters: int = 8, k: int = 2,
-    threshold: float | None = None, seed: int = 42,
+    threshold: float | None = None, seed: int = 42, iterations: int = 300,
 ) -> DataFrame:
     """SMOTE inside the clusters that hold enough of the minority, sparser ones more.
 
@@ -234,7 +237,7 @@ def cluster_smote(
     counts = class_counts(points, label)
     minority, missing = _shortfall(counts)
     needed = missing / sum(counts.values()) / 2 if threshold is None else threshold
-    model = KMeans(k=clusters, seed=seed, featuresCol=vectors, predictionCol="grp").fit(points)
+    model = KMeans(k=clusters, seed=seed, featuresCol=vectors, predictionCol="grp", maxIter=iterations).fit(points)
     placed = model.transform(points).select("grp", "id", "x", label)
     shares = {
         r["grp"]: r for r in placed.groupBy("grp").agg(
@@ -278,31 +281,29 @@ def _cell(axes: int, middles: Sequence[float]) -> Column:
     return sum(bits[1:], bits[0]) if bits else F.lit(0).cast("bigint")
 
 
-def undersample_centroids(points: DataFrame, label: str = "Target", seed: int = 42, rounds: int = 10) -> DataFrame:
+def undersample_centroids(points: DataFrame, label: str = "Target", seed: int = 42, cell_rows: int | None = None) -> DataFrame:
     """Replace the majority by as many k-means centroids as the minority has rows.
 
     One k-means with that many centres does not scale, so space is cut at the medians of
-    the leading coordinates into cells of about ``CELL_ROWS`` rows; a cell with more, such
+    the leading coordinates into cells of about ``cell_rows`` rows; a cell with more, such
     as one of equal rows, is cut further by hash. Each cell gets its share of centroids by
-    rounded running sums, which add up exactly, and clusters on its own. Up to
-    ``CELL_ROWS`` majority rows this is plain k-means.
+    rounded running sums, which add up exactly, and clusters on its own until its centres
+    stay. Rows that fit one cell are one clustering.
     """
+    cell_rows = cell_rows or CELL_ROWS
     counts = class_counts(points, label)
     minority, _ = _shortfall(counts)
     majority = next(c for c in counts if c != minority)
     wanted, rows = counts[minority], counts[majority]
     many = points.where(F.col(label) == majority).select("id", "x")
-    axes = 0
-    middles: list[float] = []
-    if rows > CELL_ROWS:
-        width = many.select(F.size("x")).first()[0]
-        axes = min(int(np.ceil(np.log2(rows / CELL_ROWS))), width)
-        middles = list(
-            many.agg(*[F.percentile_approx(F.col("x")[d], 0.5).alias(f"m{d}") for d in range(axes)]).first()
-        )
+    width = many.select(F.size("x")).first()[0]
+    axes = min(max(0, int(np.ceil(np.log2(max(rows, 1) / cell_rows)))), width)
+    middles = list(
+        many.agg(F.lit(0), *[F.percentile_approx(F.col("x")[d], 0.5) for d in range(axes)]).first()
+    )[1:]
     celled = many.withColumn("cell", _cell(axes, middles))
     sizes = celled.groupBy("cell").agg(F.count("*").alias("size"))
-    pieces = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(2 * CELL_ROWS)))
+    pieces = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(2 * cell_rows)))
     placed = celled.join(sizes, "cell").withColumn(
         "piece", F.pmod(F.xxhash64("id"), pieces).cast("bigint")
     ).select("cell", "piece", "id", "x")
@@ -318,7 +319,7 @@ def undersample_centroids(points: DataFrame, label: str = "Target", seed: int =
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, x = _sorted_rows(pdf)
-        centres = _lloyd(x, int(pdf["take"].iloc[0]), rounds)
+        centres = _lloyd(x, int(pdf["take"].iloc[0]))
         return pd.DataFrame(
             {
                 "cell": pdf["cell"].iloc[0], "piece": pdf["piece"].iloc[0],
@@ -332,18 +333,23 @@ def undersample_centroids(points: DataFrame, label: str = "Target", seed: int =
     return found.select(F.lit(majority).alias(label), "cell", "piece", "centre", "x")
 
 
-def _lloyd(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
-    """k centres of the rows of one cell; a centre that attracts no row keeps its place."""
+def _lloyd(x: np.ndarray, k: int) -> np.ndarray:
+    """k centres of the rows of one cell, moved until no row changes its centre.
+
+    Each round lowers the sum of squares, so the loop ends. A centre that attracts no row
+    keeps its place; of equally near centres the first takes the row.
+    """
     start = np.argsort(x[:, 0], kind="stable")[np.linspace(0, len(x) - 1, k).astype(int)]
     centres = x[start].copy()
-    for _ in range(rounds):
-        nearest_centre = np.argmin((centres**2).sum(1)[None, :] - 2.0 * x @ centres.T, axis=1)
-        size = np.bincount(nearest_centre, minlength=k)
+    own, best = None, np.inf
+    while True:
+        distance = (centres**2).sum(1)[None, :] - 2.0 * x @ centres.T
+        now = np.argmin(distance, axis=1)
+        total = float(distance[np.arange(len(x)), now].sum())
+        if own is not None and ((now == own).all() or total >= best):
+            return centres
+        own, best = now, total
+        size = np.bincount(now, minlength=k)
         sums = np.zeros_like(centres)
-        np.add.at(sums, nearest_centre, x)
-        moved = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
-        if np.allclose(moved, centres):
-            break
-        centres = moved
-    return centres
-
+        np.add.at(sums, now, x)
+        centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from riskloom import catalog as cat
 from riskloom.functions import normal
-from riskloom.plans.queries import ENCODED, PARAMS, SCALED
+from riskloom.plans.queries import PARAMS
 from riskloom.sources.sample import SAMPLE_SQL
 
 KEY = cat.KEY
@@ -117,13 +117,20 @@ def folds_sql() -> str:
     )
 
 
+SEX_SQL = "coalesce(cast(lower(substr(status_sex_desc, 1, 1)) = 'm' as int), 0)"
+
+
 def scaled_sql(shift: str, spread: str) -> str:
+    inputs = [c for c in (*cat.NUMBERS, cat.RATIO, *cat.FLAGS) if c != cat.LABEL]
+    missing = {cat.AGE: f"median({cat.AGE}) filter (where part = 'train') over ()"}
+    filled = [f"coalesce(cast({c} as double), {missing.get(c, 0)}) as {c}" for c in inputs] + [f"cast({SEX_SQL} as double) as Sex"]
     columns = []
-    for c in SCALED:
-        center = shift.format(c=c)
-        width = spread.format(c=c)
-        columns.append(f"{dec(f'(cast({c} as double) - {center}) / coalesce(nullif({width}, 0), 1)')} as {c}")
-    return on_view(f"select {KEY}, \"Target\", part, {', '.join(columns)} from split", SPLIT)
+    for c in [*inputs, "Sex"]:
+        center, width = shift.format(c=c), spread.format(c=c)
+        columns.append(f"{dec(f'({c} - {center}) / coalesce(nullif({width}, 0), 1)')} as {c}")
+    return on_view(
+        f"select {KEY}, \"Target\", part, {', '.join(columns)} from (select {KEY}, \"Target\", part, {', '.join(filled)} from split)", SPLIT
+    )
 
 
 _TRAIN = "filter (where part = 'train') over ()"
@@ -254,14 +261,18 @@ QQ = (
 )
 
 
+# codes of the sample that the books lack, and columns of it with missing codes
+OUTSIDE = {"Status_of_existing_checking_account": "A99", "Savings_account_bonds": "A66"}
+MISSING = ("Status_of_existing_checking_account", "Purpose", "Personal_status_and_sex")
+
+
 def one_hot_sql() -> str:
-    texts = {
-        "Purpose": sorted(c for c, _, _, _ in cat.BY_NAME["purpose"].codes),
-        "purpose_desc": sorted([*(t for _, t, _, _ in cat.BY_NAME["purpose"].codes), "unknown"]),
-        "housing_desc": sorted(t for _, t, _, _ in cat.BY_NAME["housing"].codes),
-        "job_desc": sorted(t for _, t, _, _ in cat.BY_NAME["job"].codes),
-    }
-    assert set(texts) == set(ENCODED)
+    texts = {cat.AGE_GROUP: ["25_to_40", "Over_40", "Under_25"]}
+    for a in cat.ATTRIBUTES:
+        other = {OUTSIDE[a.raw]} if a.raw in OUTSIDE else set()
+        texts[a.raw] = sorted({c for c, _, _, _ in a.codes} | other)
+        unknown = {"unknown"} if other or a.raw in MISSING else set()
+        texts[a.decoded] = sorted({"unknown" if t is None else t for _, t, _, _ in a.codes} | unknown)
     dummies = [
         f"cast(coalesce({c} = {text(v)}, false) as int) as {quoted(f'{c}_{v}')}"
         for c, values in texts.items() for v in values[1:]

@@ -20,8 +20,6 @@ from riskloom.sources import readers, writers
 from riskloom.sources.sample import sample_applications
 
 PARAMS = Params()
-SCALED = tuple(c for c in (*cat.NUMBERS, cat.RATIO) if c != cat.LABEL)
-ENCODED = ("Purpose", "purpose_desc", "housing_desc", "job_desc")
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +51,19 @@ def scan_csv(spark, sf_dir):
     return readers.read_csv(spark, path)
 
 
+def _through_table(spark, df: DataFrame, what: str) -> DataFrame:
+    """Written to a catalog table of a name of its own, read, and the name given back."""
+    path = scratch_path(spark, what)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    writers.write_table(df, name, path)
+    rows = readers.read_table(spark, name)
+    rows.schema  # resolves the relation; the files stay
+    spark.sql(f"drop table {name}")
+    return rows
+
+
 def scan_table(spark, sf_dir):
-    writers.write_table(_view(spark, sf_dir), "credit_features", scratch_path(spark, "credit-features"))
-    return readers.read_table(spark, "credit_features")
+    return _through_table(spark, _view(spark, sf_dir), "credit-features")
 
 
 def scan_colmap_json(spark, sf_dir):
@@ -67,8 +75,7 @@ def scan_colmap_json(spark, sf_dir):
 def scan_colmap_table(spark, sf_dir):
     names = cat.display_names()
     row = spark.createDataFrame([tuple(names.values())], list(names))
-    writers.write_table(row, "col_mapping", scratch_path(spark, "col-mapping"))
-    mapping = readers.rename_map_from_frame(readers.read_table(spark, "col_mapping"))
+    mapping = readers.rename_map_from_frame(_through_table(spark, row, "col-mapping"))
     return features.rename(_view(spark, sf_dir), mapping)
 
 
@@ -80,9 +87,7 @@ def sink_csv(spark, sf_dir):
 
 
 def sink_table(spark, sf_dir):
-    renamed = features.rename(_view(spark, sf_dir))
-    writers.write_table(renamed, "named_credit_features", scratch_path(spark, "features-table"))
-    return readers.read_table(spark, "named_credit_features")
+    return _through_table(spark, features.rename(_view(spark, sf_dir)), "features-table")
 
 
 def view_ddl(spark, sf_dir):
@@ -163,7 +168,9 @@ def select_numeric(spark, sf_dir):
 
 
 def one_hot_drop_first(spark, sf_dir):
-    return features.one_hot(_view(spark, sf_dir).select(cat.KEY, *ENCODED), list(ENCODED))
+    view = _view(spark, sf_dir)
+    texts = [f.name for f in view.schema if f.dataType.typeName() == "string"]
+    return features.one_hot(view.select(cat.KEY, *map(q, texts)), texts)
 
 
 def described(view: DataFrame) -> DataFrame:
@@ -291,9 +298,26 @@ def stratified_folds(spark, sf_dir):
     return prepare.stratified_folds(train, PARAMS.folds, PARAMS.seed)
 
 
-def _scaled(fit, spark, sf_dir):
-    rows = _split(spark, sf_dir, *SCALED)
-    return digits(fit(rows.where("part = 'train'"), SCALED).transform(rows))
+def _filled(spark, sf_dir) -> tuple[DataFrame, dict[str, float]]:
+    """All model inputs of both parts, and what stands for their missing values."""
+    data = prepare.encode(_raw(spark, sf_dir))
+    split = prepare.stratified_split(data.table.where("Target is not null"), PARAMS.test_fraction, PARAMS.seed)
+    return split, prepare.fit_fill(split.where("part = 'train'"), data.inputs)
+
+
+def standardize(spark, sf_dir):
+    """Every input, through the scaler that the models use."""
+    split, fill = _filled(spark, sf_dir)
+    rows = prepare.packed(split, fill, keep=(cat.KEY, "Target", "part"))
+    scaled = prepare.fit_vector_scaler(rows.where("part = 'train'")).transform(rows)
+    values = scaled.select(cat.KEY, "Target", "part", vector_to_array("scaled").alias("x"))
+    return digits(values.select(cat.KEY, "Target", "part", *[F.col("x")[i].alias(c) for i, c in enumerate(fill)]))
+
+
+def minmax_scale(spark, sf_dir):
+    split, fill = _filled(spark, sf_dir)
+    rows = split.select(cat.KEY, "Target", "part", *[F.coalesce(q(c).cast("double"), F.lit(v)).alias(c) for c, v in fill.items()])
+    return digits(prepare.fit_minmax(rows.where("part = 'train'"), list(fill)).transform(rows))
 
 
 def _pcs(scored: DataFrame, k: int | None = None) -> DataFrame:
@@ -394,41 +418,42 @@ def _training(spark, sf_dir) -> DataFrame:
     return _prepared(spark, sf_dir).train.select(cat.KEY, "Target", "fold", "pca")
 
 
-def _searched(spark, sf_dir) -> models.Fitted:
-    build = lambda: models.search("LogisticRegression", _training(spark, sf_dir), PARAMS)
-    return _once("logreg search", spark, sf_dir, build)
+def _searched(spark, sf_dir, name: str) -> models.Fitted:
+    """A family searched over its whole grid; the SVM's kernels are searched in turn."""
 
+    def build() -> models.Fitted:
+        family = models.FAMILIES[name.split()[0]]
+        grid = dict(family.grid)
+        if " " in name:
+            grid["kernel"] = [name.split()[1]]
+        elif family.kernel:
+            return models.best_of([_searched(spark, sf_dir, f"{name} {k}") for k in grid["kernel"]])
+        return models.search(family.name, _training(spark, sf_dir), PARAMS, grid)
 
-# one grid point each on the whole training set; the study job searches the full grids
-_POINTS = {
-    "logreg": ("LogisticRegression", {"C": 0.1}),
-    "random_forest": ("RandomForest", {"n_estimators": 50, "max_depth": 10}),
-    "svm_linear": ("SVM", {"C": 1.0, "kernel": "linear"}),
-    "svm_rbf": ("SVM", {"C": 1.0, "kernel": "rbf"}),
-}
+    return _once(f"search {name}", spark, sf_dir, build)
 
 
-def _fitted(name, spark, sf_dir) -> models.Fitted:
-    family, point = _POINTS[name]
-    return _once(
-        name, spark, sf_dir, lambda: models.fit(family, _training(spark, sf_dir), PARAMS, **point)
-    )
+_SEARCHES = {"logreg": "LogisticRegression", "random_forest": "RandomForest", "svm_linear": "SVM linear", "svm_rbf": "SVM rbf"}
 
 
 def classify(name, spark, sf_dir):
-    return _fitted(name, spark, sf_dir).predict(_prepared(spark, sf_dir).test)
+    return _searched(spark, sf_dir, _SEARCHES[name]).predict(_prepared(spark, sf_dir).test)
+
+
+def _best(spark, sf_dir) -> list[models.Fitted]:
+    return [_searched(spark, sf_dir, name) for name in models.FAMILIES]
 
 
 def grid_search_cv(spark, sf_dir):
-    return models.cv_scores(spark, [_searched(spark, sf_dir)])
+    return models.cv_scores(spark, _best(spark, sf_dir))
 
 
 def predict(spark, sf_dir):
-    return _searched(spark, sf_dir).predict(_prepared(spark, sf_dir).test)
+    return models.predictions(_best(spark, sf_dir), _prepared(spark, sf_dir).test)
 
 
 def _summary(spark, sf_dir) -> DataFrame:
-    fits = [_fitted(n, spark, sf_dir) for n in ("logreg", "random_forest", "svm_rbf")]
+    fits = _best(spark, sf_dir)
     return models.model_summary(fits, models.predictions(fits, _prepared(spark, sf_dir).test))
 
 
@@ -444,7 +469,7 @@ def model_compare(spark, sf_dir):
 
 
 def rf_importances(spark, sf_dir):
-    return models.forest_importances(_fitted("random_forest", spark, sf_dir), spark)
+    return models.forest_importances(_searched(spark, sf_dir, "RandomForest"), spark)
 
 
 def sink_importances(spark, sf_dir):
@@ -498,12 +523,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sort_categories, topk_abs_corr, cum_variance, n_components_95,
         stratified_split, stratified_folds,
     )}
-    found["standardize"] = partial(_scaled, prepare.fit_standard)
-    found["minmax_scale"] = partial(_scaled, prepare.fit_minmax)
     found |= {f.__name__: f for f in (
-        pca_full, pca_k, pca_2d, undersample_centroids, smote, kmeans_smote,
+        standardize, minmax_scale, pca_full, pca_k, pca_2d, undersample_centroids, smote, kmeans_smote,
     )}
-    found |= {name: partial(classify, name) for name in _POINTS}
+    found |= {name: partial(classify, name) for name in _SEARCHES}
     found |= {f.__name__: f for f in (
         grid_search_cv, predict, metrics_prf, pr_curve, pr_auc, confusion_matrix,
         model_compare, rf_importances, sink_importances, sink_model_summary,

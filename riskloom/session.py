@@ -77,8 +77,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Input in fewer pieces than there are cores, such as one small file, cut by key.
 
     A Parquet row group is read by one task, and without a shuffle that task would do all
-    the work of every stage up to the next one. Large input is returned as it is.
+    the work of every stage up to the next one. Large input is returned as it is, and so is
+    a plan with an exchange: its rows are dealt out already, and asking adaptive execution
+    for its pieces would run it.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
