@@ -52,7 +52,9 @@ def removed_lines(documents: DataFrame, site: str = "source", sites: int = SITES
     plates = boilerplate(lines, sites).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int"))
     there = dealt.join(plates, [*_LINE, "salt"]).where(~F.struct("doc_id", "h", "pos").eqNullSafe(F.col("first")))
-    return there.groupBy("doc_id", "h").agg(F.collect_set("pos").alias("gone"))
+    # distinct first: a document whose row is repeated many times lists each place once
+    places = there.select("doc_id", "h", "pos").distinct()
+    return places.groupBy("doc_id", "h").agg(F.collect_list("pos").alias("gone"))
 
 
 def dedup_lines(documents: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
