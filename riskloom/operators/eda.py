@@ -41,9 +41,15 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], binary: Sequence[str
             )
         )
     if flags:
-        sums = long_form(df, flags).groupBy("feature").agg(
-            F.count("*").alias("n"), F.sum("value").alias("ones")
+        # two sums per flag in one row per task; only the one row of results is unfolded
+        tallies = df.agg(
+            *[f(q(c)).alias(f"{name}{i}") for i, c in enumerate(flags) for name, f in (("n", F.count), ("ones", F.sum))]
         )
+        rows = F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"ones{i}").cast("double").alias("ones"))
+            for i, c in enumerate(flags)
+        ])
+        sums = tallies.select(F.inline(rows)).where("n > 0")
         n, ones = F.col("n"), F.col("ones")
         zeros = n - ones
 
@@ -171,18 +177,24 @@ def in_group_order(corr: DataFrame) -> DataFrame:
 def corr_matrix(df: DataFrame, names: dict[str, str], k: int) -> DataFrame:
     """(x, y, r, x_place, y_place) over the k columns most correlated with the target.
 
-    Finding those columns collects k names; the matrix itself is one more pass.
+    One pass finds every pair's r; what is collected are columns squared numbers.
     """
-    top = in_group_order(strongest(corr_to_target(df, names), k)).orderBy("place").collect()
-    by_label = {label: column for column, label in names.items()}
-    columns = [by_label[row["feature"]] for row in top]
-    labels = F.array(*[F.lit(names[c]) for c in columns])
-    pairs = correlations(df, columns).select("i", "j", "r")
-    n = len(columns)
+    columns = ["Target", *names]
+    found = correlations(df, columns)
+    every = df.sparkSession.createDataFrame(found.collect(), found.schema)
+    to_target = every.where("i = 0").select(
+        F.array(*[F.lit(names.get(c, c)) for c in columns])[F.col("j")].alias("feature"), "r", F.abs("r").alias("strength")
+    )
+    top = in_group_order(strongest(to_target, k)).orderBy("place").collect()
+    at = {label: i for i, label in enumerate(names.values(), 1)}
+    chosen = [at[row["feature"]] for row in top]
+    labels = F.array(*[F.lit(row["feature"]) for row in top])
+    place = F.array(*[F.lit(chosen.index(i) if i in chosen else None).cast("int") for i in range(len(columns))])
+    pairs = every.select(place[F.col("i")].alias("i"), place[F.col("j")].alias("j"), "r").where("i is not null and j is not null")
     grid = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
     # the diagonal is 1 where the column varies, which any of its pairs shows
     diagonal = grid.groupBy("i").agg(F.max(F.when(F.col("r").isNotNull(), 1.0)).alias("r"))
-    whole = grid.unionByName(diagonal.select("i", F.col("i").alias("j"), "r")) if n > 1 else grid
+    whole = grid.unionByName(diagonal.select("i", F.col("i").alias("j"), "r")) if len(chosen) > 1 else grid
     return whole.select(
         labels[F.col("i")].alias("x"), labels[F.col("j")].alias("y"), "r",
         (F.col("i") + 1).alias("x_place"), (F.col("j") + 1).alias("y_place"),

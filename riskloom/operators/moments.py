@@ -20,13 +20,17 @@ _PARTS = "i int, j int, n double, mi double, mj double, sii double, sjj double,
 
 
 class _CoMoments:
-    """Counts, means and centred sums of products over rows where both columns exist."""
+    """Counts, means and centred sums of products over rows where both columns exist.
 
-    def __init__(self, size: int) -> None:
-        self.n = np.zeros((size, size))
-        self.mean = np.zeros((size, size))  # [i, j]: mean of i where j exists too
-        self.square = np.zeros((size, size))  # [i, j]: centred squares of i where j exists
-        self.cross = np.zeros((size, size))
+    Entry [i, j] is about column i of the chosen ones and column j of all.
+    """
+
+    def __init__(self, size: int, fixed: int | None = None) -> None:
+        self.chosen = slice(None) if fixed is None else slice(fixed, fixed + 1)
+        shape = (size if fixed is None else 1, size)
+        self.n = np.zeros(shape)
+        self.mi, self.mj = np.zeros(shape), np.zeros(shape)
+        self.sii, self.sjj, self.sij = np.zeros(shape), np.zeros(shape), np.zeros(shape)
 
     def add(self, x: np.ndarray) -> None:
         present = ~np.isnan(x)
@@ -34,34 +38,40 @@ class _CoMoments:
         filled = np.where(present, x, 0.0)
         centre = filled.sum(0) / np.maximum(mask.sum(0), 1.0)
         v = np.where(present, x - centre, 0.0)
-        n = mask.T @ mask
+        own, here = v[:, self.chosen], mask[:, self.chosen]
+        n = here.T @ mask
         with np.errstate(invalid="ignore", divide="ignore"):
-            d = np.where(n > 0, (v.T @ mask) / n, 0.0)
-        square = (v * v).T @ mask - n * d * d
-        cross = v.T @ v - n * d * d.T
-        mean = centre[:, None] + d
+            di = np.where(n > 0, (own.T @ mask) / n, 0.0)
+            dj = np.where(n > 0, (here.T @ v) / n, 0.0)
+        sii = (own * own).T @ mask - n * di * di
+        sjj = here.T @ (v * v) - n * dj * dj
+        sij = own.T @ v - n * di * dj
         total = self.n + n
         with np.errstate(invalid="ignore", divide="ignore"):
             share = np.where(total > 0, n / total, 0.0)
-        gap = mean - self.mean
+        gap_i = centre[self.chosen, None] + di - self.mi
+        gap_j = centre[None, :] + dj - self.mj
         weight = self.n * share
-        self.square += square + gap * gap * weight
-        self.cross += cross + gap * gap.T * weight
-        self.mean += gap * share
+        self.sii += sii + gap_i * gap_i * weight
+        self.sjj += sjj + gap_j * gap_j * weight
+        self.sij += sij + gap_i * gap_j * weight
+        self.mi += gap_i * share
+        self.mj += gap_j * share
         self.n = total
 
 
 def co_moments(df: DataFrame, columns: Sequence[str], against: str | None = None) -> DataFrame:
     """Rows (i, j, n, mi, mj, sii, sjj, sij) of column positions i < j, over whole pairs.
 
-    With ``against``, only the pairs of that column with each other one.
+    With ``against``, only the pairs of that column, i, with each other one, j; no other
+    products are computed.
     """
     names = list(columns)
     fixed = None if against is None else names.index(against)
     size = len(names)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _CoMoments(size)
+        sums = _CoMoments(size, fixed)
         for batch in batches:
             if batch.num_rows:
                 sums.add(
@@ -69,23 +79,17 @@ def co_moments(df: DataFrame, columns: Sequence[str], against: str | None = None
                         [c.fill_null(float("nan")).to_numpy(zero_copy_only=False) for c in batch.columns]
                     )
                 )
-        i, j = np.triu_indices(size, 1)
-        if fixed is not None:
-            chosen = (i == fixed) | (j == fixed)
-            i, j = i[chosen], j[chosen]
-        keep = sums.n[i, j] > 0
-        i, j = i[keep], j[keep]
+        if fixed is None:
+            i, j = np.triu_indices(size, 1)
+            row = i
+        else:
+            j = np.delete(np.arange(size), fixed)
+            i, row = np.full(size - 1, fixed), np.zeros(size - 1, dtype=int)
+        keep = sums.n[row, j] > 0
+        i, j, row = i[keep], j[keep], row[keep]
+        found = (sums.n, sums.mi, sums.mj, sums.sii, sums.sjj, sums.sij)
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(i, pa.int32()),
-                pa.array(j, pa.int32()),
-                pa.array(sums.n[i, j]),
-                pa.array(sums.mean[i, j]),
-                pa.array(sums.mean[j, i]),
-                pa.array(sums.square[i, j]),
-                pa.array(sums.square[j, i]),
-                pa.array(sums.cross[i, j]),
-            ],
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(m[row, j]) for m in found]],
             names=["i", "j", "n", "mi", "mj", "sii", "sjj", "sij"],
         )
 

@@ -22,6 +22,7 @@ from riskloom.functions.codes import q
 INTEGER_BUCKET = 1 << 16
 # distinct fractional values one bucket should hold
 FRACTION_BUCKET = 50_000
+FRACTION_BUCKETS = 4_096
 # hex digits of a digest that each pass of a rank search adds, of the digits it has
 HASH_STEP_DIGITS = 3
 HASH_DIGITS = 32
@@ -75,12 +76,13 @@ def with_bucket(df: DataFrame, value: str, bucket: str = "bucket") -> DataFrame:
 
     Integers are cut by width, which bounds the distinct values in a bucket. Fractions are
     cut at approximate quantiles of the distinct values; that takes one aggregation whose
-    result is the cut points.
+    result is the cut points, ``FRACTION_BUCKETS`` at most. Beyond that buckets grow, and
+    the sort inside each spills.
     """
     if isinstance(df.schema[value].dataType, T.IntegralType):
         return df.withColumn(bucket, F.floor(F.col(value) / F.lit(INTEGER_BUCKET)))
     distinct = df.select(value).count()
-    pieces = -(-distinct // FRACTION_BUCKET)
+    pieces = min(-(-distinct // FRACTION_BUCKET), FRACTION_BUCKETS)
     if pieces <= 1:
         return df.withColumn(bucket, F.lit(0).cast("bigint"))
     shares = [i / pieces for i in range(1, pieces)]

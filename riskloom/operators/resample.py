@@ -8,10 +8,12 @@ equal rows, spreads over tasks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -269,6 +271,34 @@ def cluster_smote(
     )
 
 
+def method_counts(points: DataFrame, params, label: str = "Target") -> DataFrame:
+    """(method, label, n): rows of each class before and after each resampler.
+
+    ``points`` has id, the label, x (the components as an array) and the vector scaled.
+    """
+    labels = points.select(label)
+    counts = class_counts(points, label)
+    minority = min(counts, key=lambda c: (counts[c], c))
+    kept = labels.where(F.col(label) == minority)
+    whole = points.withColumn("x", vector_to_array("scaled"))
+    made = {
+        "Original": labels,
+        "ClusterCentroids": kept.unionByName(undersample_centroids(points, label, params.seed).select(label)),
+        "SMOTE": labels.unionByName(smote(points, label, params.smote_neighbours, params.seed).select(label)),
+        "KMeans-SMOTE": labels.unionByName(
+            cluster_smote(
+                whole, "scaled", label, params.cluster_smote_clusters, params.cluster_smote_neighbours,
+                params.cluster_smote_threshold, params.seed,
+            ).select(label)
+        ),
+    }
+    parts = [
+        df.groupBy(label).agg(F.count("*").alias("n")).select(F.lit(name).alias("method"), label, "n")
+        for name, df in made.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- centroid undersampling -----------------------------------------------------------
 
 

@@ -120,16 +120,40 @@ def folds_sql() -> str:
 SEX_SQL = "coalesce(cast(lower(substr(status_sex_desc, 1, 1)) = 'm' as int), 0)"
 
 
-def scaled_sql(shift: str, spread: str) -> str:
+def filled_inputs() -> dict[str, str]:
+    """Every model input, with what stands for its missing values."""
     inputs = [c for c in (*cat.NUMBERS, cat.RATIO, *cat.FLAGS) if c != cat.LABEL]
     missing = {cat.AGE: f"median({cat.AGE}) filter (where part = 'train') over ()"}
-    filled = [f"coalesce(cast({c} as double), {missing.get(c, 0)}) as {c}" for c in inputs] + [f"cast({SEX_SQL} as double) as Sex"]
-    columns = []
-    for c in [*inputs, "Sex"]:
+    filled = {c: f"coalesce(cast({c} as double), {missing.get(c, 0)})" for c in inputs}
+    return filled | {"Sex": f"cast({SEX_SQL} as double)"}
+
+
+def scaled_sql(shift: str, spread: str) -> str:
+    filled, columns = filled_inputs(), []
+    for c in filled:
         center, width = shift.format(c=c), spread.format(c=c)
         columns.append(f"{dec(f'({c} - {center}) / coalesce(nullif({width}, 0), 1)')} as {c}")
+    values = ", ".join(f"{sql} as {c}" for c, sql in filled.items())
+    return on_view(f"select {KEY}, \"Target\", part, {', '.join(columns)} from (select {KEY}, \"Target\", part, {values} from split)", SPLIT)
+
+
+def spectrum_sql() -> str:
+    """Traces of powers of the training correlations, over the trace to the same power."""
+    filled = filled_inputs()
+    values = ", ".join(f"{sql} as {c}" for c, sql in filled.items())
     return on_view(
-        f"select {KEY}, \"Target\", part, {', '.join(columns)} from (select {KEY}, \"Target\", part, {', '.join(filled)} from split)", SPLIT
+        f"select cast({len(filled)} as bigint) as components, {dec('cast(1 as double)')} as power_1,"
+        f" {dec('(select sum(r * r) from pairs) / pow(m, 2)')} as power_2,"
+        f" {dec('(select sum(s.r * p.r) from squared s join pairs p using (i, j)) / pow(m, 3)')} as power_3,"
+        f" {dec('(select sum(r * r) from squared) / pow(m, 4)')} as power_4"
+        " from (select cast(count(*) as double) as m from pairs where i = j)",
+        SPLIT,
+        f"inputs as (select {KEY}, part, {values} from split)",
+        f"long as (unpivot (select * exclude (part) from inputs where part = 'train') on {', '.join(filled)} into name i value x)",
+        "stats as (select i, avg(x) as mean, stddev_pop(x) as sd from long group by i having max(x) > min(x))",
+        f"scaled as (select {KEY}, i, (x - mean) / sd as z from long join stats using (i))",
+        f"pairs as (select a.i, b.i as j, avg(a.z * b.z) as r from scaled a join scaled b using ({KEY}) group by all)",
+        "squared as (select a.i, b.j, sum(a.r * b.r) as r from pairs a join pairs b on a.j = b.i group by all)",
     )
 
 
@@ -425,6 +449,11 @@ def sql_texts() -> dict[str, str]:
         "minmax_scale": scaled_sql(
             f"min({{c}}) {_TRAIN}", f"(max({{c}}) {_TRAIN} - min({{c}}) {_TRAIN})"),
         "smote": smote_sql(),
+        "pca_spectrum": spectrum_sql(),
+        "predict_checked": on_view(
+            "select model, count(*) as n, count(*) as n_keys, cast(sum(\"Target\") as bigint) as n_good,"
+            " count(*) as n_probabilities, count(*) as n_classes from split,"
+            " (values ('LogisticRegression'), ('RandomForest'), ('SVM')) models(model) where part = 'test' group by model", SPLIT),
         "confusion_matrix": on_scores(
             "select actual, predicted, count(label) as n from (values (0, 0), (0, 1), (1, 0), (1, 1))"
             " grid(actual, predicted) left join scored on label = actual and prediction = predicted"

@@ -341,6 +341,14 @@ def n_components_95(spark, sf_dir):
     return spectrum.agg(F.coalesce(reached, F.max("component")).alias("n_components"))
 
 
+def pca_spectrum(spark, sf_dir):
+    """Power sums of the explained shares: SQL gets the same ones from the correlations."""
+    ratio = F.col("ratio")
+    powers = [F.sum(F.pow(ratio, F.lit(p))).alias(f"power_{p}") for p in (1, 2, 3, 4)]
+    shares = prepare.cumulative_variance(spark, _prepared(spark, sf_dir).components)
+    return digits(shares.agg(F.count("*").alias("components"), *powers))
+
+
 def pca_k(spark, sf_dir):
     ready = _prepared(spark, sf_dir)
     train = _pcs(ready.train).withColumn("part", F.lit("train"))
@@ -389,26 +397,16 @@ def kmeans_smote(spark, sf_dir):
     )
 
 
+def kmeans_smote_balanced(spark, sf_dir):
+    """With the threshold that follows from the class balance."""
+    return resample.cluster_smote(
+        _points(spark, sf_dir, "scaled"), "scaled", clusters=PARAMS.cluster_smote_clusters,
+        k=PARAMS.cluster_smote_neighbours, threshold=None, seed=PARAMS.seed,
+    )
+
+
 def class_counts_resampled(spark, sf_dir):
-    rows = _points(spark, sf_dir)
-    labels = rows.select("Target")
-    counts = resample.class_counts(rows, "Target")
-    minority = min(counts, key=lambda c: (counts[c], c))
-    kept = labels.where(F.col("Target") == minority)
-    sets = {
-        "Original": labels,
-        "ClusterCentroids": kept.unionByName(undersample_centroids(spark, sf_dir).select("Target")),
-        "SMOTE": labels.unionByName(smote_components(spark, sf_dir).select("Target")),
-        "KMeans-SMOTE": labels.unionByName(kmeans_smote(spark, sf_dir).select("Target")),
-    }
-    parts = [
-        df.groupBy("Target").agg(F.count("*").alias("n")).select(F.lit(name).alias("method"), "Target", "n")
-        for name, df in sets.items()
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return resample.method_counts(_points(spark, sf_dir), PARAMS)
 
 
 # --- models ---------------------------------------------------------------------------
@@ -452,6 +450,15 @@ def predict(spark, sf_dir):
     return models.predictions(_best(spark, sf_dir), _prepared(spark, sf_dir).test)
 
 
+def predict_checked(spark, sf_dir):
+    """Whether each searched model scores every test row once, with a probability."""
+    score = F.col("score")
+    return predict(spark, sf_dir).groupBy("model").agg(
+        F.count("*").alias("n"), F.countDistinct(cat.KEY).alias("n_keys"), F.sum("label").cast("bigint").alias("n_good"),
+        F.count_if(score.between(0, 1)).alias("n_probabilities"), F.count_if(F.col("prediction").isin(0, 1)).alias("n_classes"),
+    )
+
+
 def _summary(spark, sf_dir) -> DataFrame:
     fits = _best(spark, sf_dir)
     return models.model_summary(fits, models.predictions(fits, _prepared(spark, sf_dir).test))
@@ -524,11 +531,12 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stratified_split, stratified_folds,
     )}
     found |= {f.__name__: f for f in (
-        standardize, minmax_scale, pca_full, pca_k, pca_2d, undersample_centroids, smote, kmeans_smote,
+        standardize, minmax_scale, pca_full, pca_spectrum, pca_k, pca_2d, undersample_centroids,
+        smote, smote_components, kmeans_smote, kmeans_smote_balanced,
     )}
     found |= {name: partial(classify, name) for name in _SEARCHES}
     found |= {f.__name__: f for f in (
-        grid_search_cv, predict, metrics_prf, pr_curve, pr_auc, confusion_matrix,
+        grid_search_cv, predict, predict_checked, metrics_prf, pr_curve, pr_auc, confusion_matrix,
         model_compare, rf_importances, sink_importances, sink_model_summary,
     )}
     found["sort_importances"] = rf_importances

@@ -5,12 +5,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom import catalog as cat
-from riskloom.operators import eda, features, models, prepare
+from riskloom.operators import eda, evaluate, features, models, prepare, resample
 from riskloom.params import Params
-from riskloom.session import tune
+from riskloom.session import drop_scratch, tune
 from riskloom.sources import readers, writers
 
 
@@ -25,24 +27,67 @@ def statistics(raw: DataFrame, params: Params) -> dict[str, DataFrame]:
         "category_counts": eda.category_counts(view),
         "category_percent": eda.category_percent(view),
         "corr_matrix": eda.corr_matrix(correlated, names, params.top_correlations),
+        "top_correlations": eda.in_group_order(
+            eda.strongest(eda.corr_to_target(correlated, names), params.top_correlations)
+        ),
         "box_stats": eda.box_stats(raw),
+        "box_outliers": eda.box_outliers(raw),
         "kde": eda.kde_by_class(raw),
+        "qq_points": eda.qq_points(raw),
         "qq_fit": eda.qq_line(eda.qq_points(raw)),
     }
 
 
+def preparation(ready: prepare.Prepared, params: Params, resampled: bool = True) -> dict[str, DataFrame]:
+    """Split counts, explained variance, the first two components and the resamplers' counts."""
+    spark = ready.train.sparkSession
+    parts = [df.select("Target", F.lit(p).alias("part")) for p, df in (("train", ready.train), ("test", ready.test))]
+    scores = vector_to_array("pca")
+    found = {
+        "split_counts": eda.class_balance(parts[0].unionByName(parts[1]), "Target", ["part"]),
+        "explained_variance": prepare.cumulative_variance(spark, ready.components).withColumn(
+            "kept", F.col("component") <= ready.kept
+        ),
+        "projection_2d": ready.train.select(cat.KEY, "Target", F.get(scores, F.lit(0)).alias("pc1"), F.get(scores, F.lit(1)).alias("pc2")),
+    }
+    if resampled:
+        points = ready.train.select(F.col(cat.KEY).alias("id"), "Target", "scaled", scores.alias("x"))
+        found["resampled_counts"] = resample.method_counts(points, params)
+    return found
+
+
+def measures(scored: DataFrame) -> dict[str, DataFrame]:
+    """Confusion matrix, precision-recall curve and no-skill rate of each fitted model."""
+    return {
+        "confusion_matrix": evaluate.confusion_matrix(scored, ["model"]),
+        "pr_curve": evaluate.pr_curve(scored, ["model"]),
+        "no_skill": scored.groupBy("model").agg(F.avg("label").alias("no_skill")),
+    }
+
+
 def run(
-    raw: DataFrame, out: str, params: Params = Params(), families: Sequence[str] = tuple(models.FAMILIES)
+    raw: DataFrame, out: str, params: Params = Params(), families: Sequence[str] = tuple(models.FAMILIES),
+    resampled: bool = True,
 ) -> DataFrame:
-    """Write all tables under ``out`` and return the model summary."""
+    """Write all tables under ``out`` and return the model summary.
+
+    The resamplers' counts need neighbour searches whose work grows with the square of the
+    minority; ``resampled`` leaves them out.
+    """
     spark = tune(raw.sparkSession)
-    for name, table in statistics(raw, params).items():
-        table.write.mode("overwrite").parquet(f"{out}/{name}")
+
+    def write(tables: dict[str, DataFrame]) -> None:
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{out}/{name}")
+
+    write(statistics(raw, params))
     ready = prepare.prepare(raw, params)
+    write(preparation(ready, params, resampled))
     fits = models.select_models(ready, params, families)
     scored = models.predictions(fits, ready.test)
     scored.write.mode("overwrite").parquet(f"{out}/predictions")
     scored = spark.read.schema(scored.schema).parquet(f"{out}/predictions")
+    write(measures(scored))
     summary = models.model_summary(fits, scored)
     writers.write_csv(summary, f"{out}/model_summary")
     writers.write_csv(models.cv_scores(spark, fits), f"{out}/cv_scores")
@@ -63,6 +108,7 @@ def main() -> None:
     params = Params(test_fraction=round(1 - args.train_fraction, 12), seed=args.seed)
     raw = readers.read_parquet(spark, args.raw, cat.KEYED_SCHEMA)
     run(raw, args.out, params).show(truncate=False)
+    drop_scratch(spark)
 
 
 if __name__ == "__main__":

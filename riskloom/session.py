@@ -63,14 +63,27 @@ def shared_dir(spark: SparkSession) -> str:
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="riskloom-")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
+            folder = context.getCheckpointDir()
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/riskloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes what this application has settled; a job calls it when its results are written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
