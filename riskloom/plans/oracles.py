@@ -450,10 +450,9 @@ def sql_texts() -> dict[str, str]:
             f"min({{c}}) {_TRAIN}", f"(max({{c}}) {_TRAIN} - min({{c}}) {_TRAIN})"),
         "smote": smote_sql(),
         "pca_spectrum": spectrum_sql(),
-        "predict_checked": on_view(
-            "select model, count(*) as n, count(*) as n_keys, cast(sum(\"Target\") as bigint) as n_good,"
-            " count(*) as n_probabilities, count(*) as n_classes from split,"
-            " (values ('LogisticRegression'), ('RandomForest'), ('SVM')) models(model) where part = 'test' group by model", SPLIT),
+        "logreg_checked": on_view(
+            "select $$LogisticRegression$$ as model, count(*) as n, count(*) as n_keys, cast(sum(\"Target\") as bigint) as n_good,"
+            " count(*) as n_probabilities, count(*) as n_classes from split where part = 'test'", SPLIT),
         "confusion_matrix": on_scores(
             "select actual, predicted, count(label) as n from (values (0, 0), (0, 1), (1, 0), (1, 1))"
             " grid(actual, predicted) left join scored on label = actual and prediction = predicted"

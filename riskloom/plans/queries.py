@@ -450,10 +450,10 @@ def predict(spark, sf_dir):
     return models.predictions(_best(spark, sf_dir), _prepared(spark, sf_dir).test)
 
 
-def predict_checked(spark, sf_dir):
-    """Whether each searched model scores every test row once, with a probability."""
+def logreg_checked(spark, sf_dir):
+    """Whether the searched logistic model scores every test row once, with a probability."""
     score = F.col("score")
-    return predict(spark, sf_dir).groupBy("model").agg(
+    return classify("logreg", spark, sf_dir).groupBy("model").agg(
         F.count("*").alias("n"), F.countDistinct(cat.KEY).alias("n_keys"), F.sum("label").cast("bigint").alias("n_good"),
         F.count_if(score.between(0, 1)).alias("n_probabilities"), F.count_if(F.col("prediction").isin(0, 1)).alias("n_classes"),
     )
@@ -536,7 +536,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )}
     found |= {name: partial(classify, name) for name in _SEARCHES}
     found |= {f.__name__: f for f in (
-        grid_search_cv, predict, predict_checked, metrics_prf, pr_curve, pr_auc, confusion_matrix,
+        grid_search_cv, predict, logreg_checked, metrics_prf, pr_curve, pr_auc, confusion_matrix,
         model_compare, rf_importances, sink_importances, sink_model_summary,
     )}
     found["sort_importances"] = rf_importances
