@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.bitsliced_topk import top_k
+from riskloom.llm.collocations import collocations
 from riskloom.llm.common import table
 from riskloom.llm.decontamination import find_leaks
 from riskloom.llm.license_scan import document_files, scan_licences
@@ -74,6 +75,10 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(shards, folder)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -81,4 +81,4 @@ def test_run_is_the_stages_and_is_registered(spark, small, steps):
 
 def test_every_operator_has_a_query():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14))
