@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.bitsliced_topk import top_k
 from riskloom.llm.collocations import collocations
 from riskloom.llm.common import table
+from riskloom.llm.conversation_repair import damaged, repair
 from riskloom.llm.decontamination import find_leaks
 from riskloom.llm.license_scan import document_files, scan_licences
 from riskloom.llm.license_scan import sql as licence_sql
@@ -79,6 +80,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair(conversations, damaged(conversations))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
