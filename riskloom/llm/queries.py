@@ -16,6 +16,7 @@ from riskloom.llm.license_scan import document_files, scan_licences
 from riskloom.llm.license_scan import sql as licence_sql
 from riskloom.llm.line_dedup import SQL as LINE_DEDUP_SQL
 from riskloom.llm.line_dedup import dedup_lines
+from riskloom.llm.multi_index import nearest
 from riskloom.llm.packing import pack
 from riskloom.llm.quality import score_quality, train
 from riskloom.llm.simhash_dedup import near_duplicates
@@ -80,6 +81,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return repair(conversations, damaged(conversations))
