@@ -5,8 +5,8 @@ with nulls. Only these longest windows are counted. A phrase is a prefix of the
 its first word leads, so a ROLLUP over the lead columns adds up the counts of every shorter
 phrase.
 
-Windows are cut where no frequent phrase can go on: at a word, or a pair of neighbours, whose
-hash slot holds fewer than ``least`` occurrences. Slots are a bitmap of fixed size, counted
+Windows are cut where no frequent phrase can go on: at a word, or at two or three neighbours,
+whose hash slot holds fewer than ``least`` occurrences. Slots are bitmaps of fixed size, counted
 over the whole corpus; words that share a slot only make windows longer than they need be.
 """
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import GOLD, chunks, mix, ready, settle
 
 LONGEST = 5
-WORD_SLOTS = 1 << 24  # a bit each: 2 MB in every task, at any size of the corpus
-PAIR_SLOTS = 1 << 26
+#: Slots for words, pairs and triples, a bit each: 18 MB in every task, at any size of the corpus.
+SLOTS = (1 << 24, 1 << 26, 1 << 26)
 
 LEADS = [f"w{i}" for i in range(1, LONGEST + 1)]
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -33,7 +33,7 @@ _GAP, _END = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _GAP[[0x20, 0x09]] = True
 _END[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 
-_SLOTS = "lang string, slot int, n long"
+_COUNTS = "lang string, slot int, n long"
 _WINDOWS = "lang string, " + ", ".join(f"{w} string" for w in LEADS) + ", n long"
 
 
@@ -69,14 +69,31 @@ class Chunk(Pieces):
         self.langs, of_doc = coded.dictionary, np.asarray(coded.indices, dtype=np.int64)
         self.lang = of_doc[self.doc]
         seeds = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in self.langs.to_pylist()), dtype=np.uint64, count=len(self.langs))
+        self.known: dict[int, np.ndarray] = {}
         self.key = mix((self.hashes()[self.code] if len(self.code) else np.zeros(0, dtype=np.uint64)) ^ seeds[self.lang])
 
-    def word_slots(self) -> np.ndarray:
-        return (self.key & np.uint64(WORD_SLOTS - 1)).astype(np.int64)
-
-    def pair_slots(self) -> np.ndarray:
-        """The slot of each word and the next."""
-        return (mix(self.key[:-1] * GOLD + self.key[1:]) & np.uint64(PAIR_SLOTS - 1)).astype(np.int64)
+    def slots(self, width: int) -> np.ndarray:
+        """The slot of each run of ``width`` words; a run may pass the end of its piece."""
+        h = self.key
+        for i in range(1, width):
+            h = mix(h[:-1] * GOLD + self.key[i:])
+        return (h & np.uint64(SLOTS[width - 1] - 1)).astype(np.int64)
+
+    def hopeful(self, width: int, bitmaps: list[np.ndarray]) -> np.ndarray:
+        """Whether each run of ``width`` words in one piece is frequent as far as shorter ones say."""
+        if width == 1:
+            return np.ones(len(self.key), dtype=bool)
+        shorter = self.frequent(width - 1, bitmaps)
+        return shorter[:-1] & shorter[1:] & (self.piece[width - 1 :] == self.piece[: len(self.piece) - width + 1])
+
+    def frequent(self, width: int, bitmaps: list[np.ndarray]) -> np.ndarray:
+        """The same, as its own slot says too."""
+        if width not in self.known:
+            out = self.hopeful(width, bitmaps)
+            if width <= len(bitmaps) and len(out):
+                out &= _holds(bitmaps[width - 1], self.slots(width))
+            self.known[width] = out
+        return self.known[width]
 
 
 def _holds(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -86,39 +103,36 @@ def _holds(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         chunk = Chunk(batch)
-        keys, n = np.unique(chunk.lang * WORD_SLOTS + chunk.word_slots(), return_counts=True)
+        keys, n = np.unique(chunk.lang * SLOTS[0] + chunk.slots(1), return_counts=True)
         yield pa.RecordBatch.from_pydict({
-            "lang": chunk.langs.take(pa.array(keys // WORD_SLOTS)), "slot": pa.array(keys % WORD_SLOTS, pa.int32()), "n": pa.array(n, pa.int64()),
+            "lang": chunk.langs.take(pa.array(keys // SLOTS[0])), "slot": pa.array(keys % SLOTS[0], pa.int32()), "n": pa.array(n, pa.int64()),
         })
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch], words) -> Iterator[pa.RecordBatch]:
+def _run_counts(batches: Iterator[pa.RecordBatch], width: int, bitmaps: list) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         chunk = Chunk(batch)
-        if len(chunk.code) < 2:
+        if len(chunk.code) < width:
             continue
-        known = _holds(words.value, chunk.word_slots())
-        inside = (chunk.piece[1:] == chunk.piece[:-1]) & known[1:] & known[:-1]
-        slots, n = np.unique(chunk.pair_slots()[inside], return_counts=True)
+        slots, n = np.unique(chunk.slots(width)[chunk.hopeful(width, [b.value for b in bitmaps])], return_counts=True)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(slots, pa.int32()), "n": pa.array(n, pa.int64())})
 
 
-def _windows(batches: Iterator[pa.RecordBatch], words, pairs) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], bitmaps: list) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         chunk = Chunk(batch)
         if not len(chunk.code):
             continue
-        known = _holds(words.value, chunk.word_slots())
-        on = np.zeros(len(known) + LONGEST, dtype=bool)  # whether a window goes on after a word
-        on[: len(known) - 1] = (chunk.piece[1:] == chunk.piece[:-1]) & known[1:] & known[:-1]
-        on[: len(known) - 1] &= _holds(pairs.value, chunk.pair_slots())
-        lead = np.flatnonzero(known)
+        goes_on = [chunk.frequent(w, [b.value for b in bitmaps]) for w in range(1, min(LONGEST, len(chunk.code)) + 1)]
+        lead = np.flatnonzero(goes_on[0])
         code = np.r_[chunk.code, np.zeros(LONGEST, dtype=np.int64)]
-        columns, open_ = [code[lead]], np.ones(len(lead), dtype=bool)
+        columns = [code[lead].astype(np.int32)]
         for i in range(1, LONGEST):
-            open_ = open_ & on[lead + i - 1]
-            columns.append(np.where(open_, code[lead + i], -1))
-        table = pa.table({"lang": chunk.lang[lead], **{w: c.astype(np.int32) for w, c in zip(LEADS, columns)}})
+            open_ = np.zeros(len(chunk.code), dtype=bool)
+            if i < len(goes_on):
+                open_[: len(goes_on[i])] = goes_on[i]
+            columns.append(np.where(open_[lead], code[lead + i], -1).astype(np.int32))
+        table = pa.table({"lang": chunk.lang[lead], **dict(zip(LEADS, columns))})
         counted = table.group_by(["lang", *LEADS], use_threads=False).aggregate([([], "count_all")])
         names = chunk.words.cast(pa.string())
         taken = {w: names.take(pa.compute.if_else(pa.compute.less(counted[w], 0), None, counted[w])) for w in LEADS}
@@ -142,12 +156,13 @@ def phrase_counts(documents: DataFrame, least: int = 100) -> tuple[DataFrame, Da
     """
     spark = ready(documents.sparkSession)
     docs = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    slots = settle(docs.mapInArrow(_word_counts, _SLOTS).groupBy("lang", "slot").agg(F.sum("n").alias("n")), "word-slots")
+    slots = settle(docs.mapInArrow(_word_counts, _COUNTS).groupBy("lang", "slot").agg(F.sum("n").alias("n")), "word-slots")
     totals = slots.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = spark.sparkContext.broadcast(_bitmap(slots.where(F.col("n") >= least), WORD_SLOTS))
-    met = docs.mapInArrow(lambda it: _pair_counts(it, words), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    pairs = spark.sparkContext.broadcast(_bitmap(met.where(F.col("n") >= least), PAIR_SLOTS))
-    windows = docs.mapInArrow(lambda it: _windows(it, words, pairs), _WINDOWS).groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
+    bitmaps = [spark.sparkContext.broadcast(_bitmap(slots.where(F.col("n") >= least), SLOTS[0]))]
+    for width in range(2, len(SLOTS) + 1):
+        met = docs.mapInArrow(lambda it, w=width, b=list(bitmaps): _run_counts(it, w, b), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+        bitmaps.append(spark.sparkContext.broadcast(_bitmap(met.where(F.col("n") >= least), SLOTS[width - 1])))
+    windows = docs.mapInArrow(lambda it: _windows(it, bitmaps), _WINDOWS).groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
     level = LONGEST - F.bit_count(F.grouping_id())  # how many lead columns the row still has
     rolled = windows.rollup("lang", *LEADS).agg(F.sum("n").alias("f"), level.cast("int").alias("k")).where(F.col("f") >= least)
     # a padded window stands for no phrase of its full width
