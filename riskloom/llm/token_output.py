@@ -28,7 +28,6 @@ from riskloom.session import scratch_path
 MAGIC = b"RPG1"
 HEAD = "<4sIQQII"  # magic, bytes a symbol, documents, symbols, first nonterminal, rules
 RULES_AT_ONCE = 4096
-ROUNDS = 4
 SHARD_BYTES = 8 << 20  # of text
 LEAST_COUNT = 8  # a rule takes 12 bytes and saves a symbol at each place
 
@@ -36,17 +35,18 @@ _SHARDS = "part int, file string, base long, n_docs long, n_tokens long"
 _DOCS = "part int, doc_id long, at long, n_tokens long, ids_crc32 long"
 
 
-def compress(ids: np.ndarray, first: np.ndarray, terminals: int, at_once: int = RULES_AT_ONCE, rounds: int = ROUNDS, least: int = LEAST_COUNT):
+def compress(ids: np.ndarray, first: np.ndarray, terminals: int, at_once: int = RULES_AT_ONCE, least: int = LEAST_COUNT):
     """Re-Pair over several documents: (symbols, first symbol of each document, rules).
 
     ``first`` has an entry for each document and the end; no rule crosses a document's end.
     With fewer than 65,536 terminals, symbols stay below 65,536. Each round takes the
-    ``at_once`` most frequent pairs and replaces them from left to right.
+    ``at_once`` most frequent pairs and replaces them from left to right; rounds end when no
+    pair comes ``least`` times or no symbol is left.
     """
     most = (1 << 16) if terminals < 1 << 16 else (1 << 31)
     seq, first = ids.astype(np.uint32), first.copy()
     rules = np.zeros((0, 2), dtype=np.uint32)
-    for _ in range(rounds):
+    while True:
         room = min(at_once, most - terminals - len(rules))
         if len(seq) < 2 or room <= 0:
             break

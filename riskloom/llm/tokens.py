@@ -10,8 +10,14 @@ any text with unusual white space, is encoded whole.
 from __future__ import annotations
 
 import json
+import re
+from array import array
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MARKS = ".,!?;:%$#&*|()[]{}\"-_=+/\\@^~`<>"  # no letters, digits, white space or apostrophes
 #: The pattern of the tokenizer kind whose white space is dropped.
@@ -19,6 +25,11 @@ DROPPING = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 CACHE_WORDS = 250_000  # in each of two generations
 
 
+class Cut(NamedTuple):
+    array: pa.Array  # the words of all texts
+    first: np.ndarray  # the first word of each text, and the number of words
+
+
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -29,87 +40,144 @@ class Encoder:
             said = json.load(f)
         self.kind = _kind(said)
         self.special = [t["content"] for t in said["added_tokens"]]
-        self.cache: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}  # words not met since the cache was last full
+        self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # words not met since the cache was last full
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
         if len(self.cache) > CACHE_WORDS:
-            self.older, self.cache = self.cache, {"": b""}
-        out = []
-        whole = []
-        words = [self._words(t or "") for t in texts]
-        new = set()
-        for ws in words:
-            if ws is not None:
-                new.update(ws)
-        new.difference_update(self.cache)
-        met = new.intersection(self.older)
-        self.cache.update((w, self.older[w]) for w in met)
-        self._learn(new - met)
-        known = self.cache.__getitem__
-        for i, ws in enumerate(words):
-            if ws is None:
-                whole.append(i)
-                out.append(b"")
+            self.older, self.cache = self.cache, {}
+        texts = [t or "" for t in texts]
+        alone = np.fromiter(map(self._by_words, texts), dtype=bool, count=len(texts))
+        words = self._cut([t.encode() if w else b"" for t, w in zip(texts, alone)])
+        coded = words.array.dictionary_encode()
+        parts, found = self._parts(coded.dictionary)
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) >> 2
+        ids, first = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(size) - size
+        part = parts[np.asarray(coded.indices, dtype=np.int64)].ravel()
+        count = size[part]
+        ends = np.cumsum(count)
+        out = ids[np.repeat(first[part] - ends + count, count) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        total = np.r_[0, ends][2 * words.first]
+        counts = np.diff(total)
+        if alone.all():
+            return out, counts
+        pieces = np.split(out, total[1:-1])
+        whole = np.flatnonzero(~alone)
+        for i, e in zip(whole, self.whole.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
+            pieces[i] = np.asarray(e.ids, dtype="<u4")
+            counts[i] = len(pieces[i])
+        return np.concatenate(pieces), counts
+
+    def _by_words(self, text: str) -> bool:
+        """Whether the words of a text can be encoded each by itself."""
+        if self.kind == "leading":
+            return " ".join(text.split()) == text.replace("\n", " ")
+        return self.kind == "dropping"
+
+    def _cut(self, texts: list[bytes]) -> Cut:
+        """Every text cut before each space and newline, which stay with the word after them."""
+        raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        ends = np.cumsum([0, *map(len, texts)])
+        mark = np.zeros(len(raw) + 1, dtype=bool)
+        mark[:-1] = (raw == 32) | (raw == 10)
+        mark[ends] = True
+        offsets = np.flatnonzero(mark).astype(np.int64)
+        array = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        return Cut(array, np.searchsorted(offsets, ends))
+
+    def _parts(self, words: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+        """Two parts of each word, and the ids of every part.
+
+        A run of letters before marks is a part by itself, and so are the marks; any other word
+        is one part. The first part of the list is empty.
+        """
+        text = words.cast(pa.large_string())
+        body = pc.utf8_ltrim(text, " \n")
+        core = pc.utf8_rtrim(body, MARKS)
+        split = pc.utf8_is_alpha(core)
+        for s in self.special:
+            split = pc.and_not(split, pc.match_substring(text, s))
+        split = np.asarray(split)
+        core, body = core.cast(pa.large_binary()), body.cast(pa.large_binary())
+        ends = np.asarray(pc.binary_length(core))
+        marked = np.flatnonzero(split & (np.asarray(pc.binary_length(body)) > ends))
+        tails = pa.array([b[n:] for b, n in zip(body.take(pa.array(marked)).to_pylist(), ends[marked].tolist())], pa.large_binary()).dictionary_encode()
+        if self.kind == "dropping":  # nor does the case of plain letters count
+            head = pc.if_else(pc.string_is_ascii(core.cast(pa.large_string())), pc.ascii_lower(core.cast(pa.large_string())), core.cast(pa.large_string())).cast(pa.large_binary())
+        else:
+            lead = pc.if_else(pc.greater(pc.binary_length(words), pc.binary_length(body)), pc.binary_slice(words, 0, 1), pa.scalar(b"", pa.large_binary()))
+            head = pc.binary_join_element_wise(lead, core, pa.scalar(b"", pa.large_binary()))
+        heads = head.filter(pa.array(split)).dictionary_encode()
+        odd = words.filter(pa.array(~split))
+        out = np.zeros((len(words), 2), dtype=np.int64)
+        out[split, 0] = 1 + np.asarray(heads.indices)
+        out[marked, 1] = 1 + len(heads.dictionary) + np.asarray(tails.indices)
+        out[~split, 0] = 1 + len(heads.dictionary) + len(tails.dictionary) + np.arange(len(odd))
+        return out, [
+            b"", *self._known(heads.dictionary, self._encode_letters), *self._known(tails.dictionary, self._library), *self._known(odd, self._library),
+        ]
+
+    def _known(self, parts: pa.Array, learn: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
+        """The ids of parts, from the cache or learned."""
+        keys = parts.to_pylist()
+        found = list(map(self.cache.get, keys))
+        missing = [i for i, v in enumerate(found) if v is None]
+        if self.older and missing:
+            for i in missing:
+                if (v := self.older.get(keys[i])) is not None:
+                    found[i] = self.cache[keys[i]] = v
+            missing = [i for i in missing if found[i] is None]
+        for i, v in zip(missing, learn([keys[i] for i in missing])):
+            found[i] = self.cache[keys[i]] = v
+        return found
+
+    def _encode_letters(self, heads: list[bytes]) -> list[bytes]:
+        """Letters go to the model at once if their case and composition are beyond doubt."""
+        out, rest = [b""] * len(heads), []
+        tokenize, lower = self.model.tokenize, self.kind == "dropping"
+        for i, head in enumerate(heads):
+            text = head.decode()
+            if head.isascii():
+                text = text.replace(" ", BYTE_LETTERS[32])
+            elif PLAIN.fullmatch(text):
+                text = (text.lower() if lower else text).encode().decode("latin-1").translate(BYTE_LETTERS)
             else:
-                out.append(b"".join(map(known, ws)))
-        if whole:
-            for i, e in zip(whole, self.whole.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
-                out[i] = np.asarray(e.ids, dtype="<u4").tobytes()
-        counts = np.fromiter((len(b) >> 2 for b in out), dtype=np.int64, count=len(out))
-        return np.frombuffer(b"".join(out), dtype="<u4"), counts
-
-    def _words(self, text: str) -> list[str] | None:
-        """The parts of a text that can be encoded alone, or None."""
-        if self.kind == "dropping":
-            return text.replace("\n", " ").split(" ")
-        if self.kind == "leading" and "\0" not in text and " ".join(text.split()) == text.replace("\n", " "):
-            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        return None
-
-    def _learn(self, words: set[str]) -> None:
-        """Encodes new words; a run of letters before marks is encoded, and kept, by itself."""
-        cache, split, odd = self.cache, [], []
-        dropping = self.kind == "dropping"
-        space = "" if dropping else " "
-        for word in words:
-            body = word[1:] if word[0] == " " else word
-            core = body.rstrip(MARKS)
-            if not core.isalpha():
-                odd.append(word)
-                continue
-            head, tail = word[: len(word) - len(body) + len(core)], body[len(core) :]
-            if any(s in word for s in self.special):
-                odd.append(word)
-                continue
-            if tail:
-                split.append((word, head, tail))
-                if tail not in cache:
-                    odd.append(tail)
-                    cache[tail] = b""
-                if head in cache:
-                    continue
-            if not core.isascii():
-                odd.append(head)
-                cache[head] = b""
-                continue
-            known = cache.get(head.lower()) if dropping else None
-            if known is None:
-                shown = head.lower() if dropping else head.replace(space, "Ġ")
-                known = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
-                if dropping:
-                    cache[shown] = known
-            cache[head] = known
-        if odd:
-            for word, e in zip(odd, self.whole.encode_batch_fast(odd, add_special_tokens=False)):
-                cache[word] = np.asarray(e.ids, dtype="<u4").tobytes()
-        for word, head, tail in split:
-            cache[word] = cache[head] + cache[tail]
+                text = "\n"
+            if text[0] == "\n":
+                rest.append(i)
+            else:
+                out[i] = array("I", [t.id for t in tokenize(text)]).tobytes()
+        for i, v in zip(rest, self._library([heads[i] for i in rest])):
+            out[i] = v
+        return out
+
+    def _library(self, parts: list[bytes]) -> list[bytes]:
+        found = self.whole.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level files write bytes: printable Latin-1 as itself, the rest from U+0100 on."""
+    out, spare = {}, 0x100
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            out[b] = chr(b)
+        else:
+            out[b] = chr(spare)
+            spare += 1
+    return out
+
+
+BYTE_LETTERS = _byte_letters()
+#: Letters of one lower-case letter each, that no composition changes; a space may come first.
+PLAIN = re.compile("[ ]?[A-Za-z\u00c0-\u012f\u0131-\u0148\u014a-\u017e]+")
 
 
 def _kind(said: dict) -> str:
     pre, normal = said["pre_tokenizer"] or {}, said["normalizer"]
+    if any(c.isspace() for t in said["added_tokens"] for c in t["content"]):
+        return "whole"
     if said["model"]["type"] != "BPE" or said["model"].get("dropout") or any(t["lstrip"] or t["rstrip"] for t in said["added_tokens"]):
         return "whole"
     if pre.get("type") == "ByteLevel" and normal is None and pre["use_regex"] and not pre["add_prefix_space"]:

@@ -58,7 +58,7 @@ CACHE = {}
 def test_grammar_round_trip(docs):
     ids = np.asarray([x for d in docs for x in d], dtype=np.uint32)
     first = np.r_[0, np.cumsum([len(d) for d in docs])]
-    symbols, at, rules = token_output.compress(ids, first, 4, at_once=2, rounds=6, least=2)
+    symbols, at, rules = token_output.compress(ids, first, 4, at_once=2, least=2)
     assert token_output.expand(symbols, rules, 4).tolist() == ids.tolist()
     for d, a, b in zip(docs, at, at[1:]):
         assert token_output.expand(symbols[a:b], rules, 4).tolist() == d
