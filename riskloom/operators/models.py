@@ -3,95 +3,45 @@
 from __future__ import annotations
 
 import json
-import warnings
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
-from functools import reduce
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 from itertools import product
 
 import numpy as np
-import pandas as pd
-from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (
-    LinearSVC, LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
-)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import catalog as cat
+from riskloom.operators import forest, linear
 from riskloom.operators.evaluate import metrics_prf, pr_auc
 from riskloom.operators.prepare import Prepared
+from riskloom.session import settle
 
 LABEL = "Target"
-# Spark's deepest tree, standing for a tree without a depth limit
-DEEPEST = 30
-
-
-class CostClassifier(Estimator, HasFeaturesCol, HasLabelCol):
-    """A linear classifier regularised by an error cost C.
-
-    The libraries weigh the penalty differently: cost C on n rows is a regularisation of
-    1 / (C n), with n the rows of this very fit, so folds and the final fit agree.
-    """
-
-    C = Param(Params._dummy(), "C", "cost of training errors", TypeConverters.toFloat)
-
-    def __init__(self, kind: str, features: str = "pca", label: str = LABEL, iterations: int = 1000):
-        super().__init__()
-        self.kind, self.iterations = kind, iterations
-        self.tolerance = {"logreg": 1e-4, "svm": 1e-3}[kind]  # the usual ones of these kinds
-        self._setDefault(C=1.0)
-        self._set(featuresCol=features, labelCol=label)
-
-    def _fit(self, dataset: DataFrame) -> Model:
-        settings = dict(
-            featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
-            regParam=1.0 / (self.getOrDefault(self.C) * dataset.count()),
-            maxIter=self.iterations, tol=self.tolerance, standardization=False,
-        )
-        kind = LogisticRegression if self.kind == "logreg" else LinearSVC
-        model = kind(**settings).fit(dataset)
-        taken = (model.summary if self.kind == "logreg" else model.summary()).totalIterations
-        if taken >= self.iterations:
-            warnings.warn(f"{self.kind} stopped after {taken} iterations without converging", stacklevel=2)
-        return model
+ALL = -1  # the fold of the final fit, which holds no row out
 
 
 @dataclass(frozen=True)
 class FourierFeatures:
     """Random cosine features whose inner products approximate the RBF kernel.
 
-    Rahimi and Recht, 2007. Spark has no kernel machine; a linear one on these features
-    approximates it, better with more of them. The weights are a small constant matrix.
+    Rahimi and Recht, 2007. A linear machine on these features approximates the kernel one,
+    better with more of them. The weights are a small constant matrix.
     """
 
     weights: np.ndarray
     offsets: np.ndarray
 
-    def transform(self, df: DataFrame, source: str = "pca", name: str = "fourier") -> DataFrame:
-        weights, offsets = self.weights, self.offsets
-        scale = np.sqrt(2.0 / len(offsets))
-
-        @F.pandas_udf("array<double>")
-        def project(vectors: pd.Series) -> pd.Series:
-            if not len(vectors):
-                return pd.Series([], dtype=object)
-            return pd.Series(list(scale * np.cos(np.stack(vectors.to_numpy()) @ weights + offsets)))
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return np.sqrt(2.0 / len(self.offsets)) * np.cos(x @ self.weights + self.offsets)
 
-        return df.withColumn(name, array_to_vector(project(vector_to_array(source))))
 
-
-def fit_fourier(train: DataFrame, size: int = 256, seed: int = 42, source: str = "pca") -> FourierFeatures:
-    """Kernel width 1 / (dimensions x variance of all inputs), the usual default."""
-    row = train.select(
-        Summarizer.metrics("mean", "variance", "count").summary(F.col(source)).alias("s")
+def fit_fourier(rows: DataFrame, size: int = 256, seed: int = 42) -> FourierFeatures:
+    """Kernel width 1 / (dimensions x variance of all inputs), the usual default; rows have an array x."""
+    row = rows.select(
+        Summarizer.metrics("mean", "variance", "count").summary(array_to_vector("x")).alias("s")
     ).first()["s"]
     mean, variance = row["mean"].toArray(), row["variance"].toArray()
     n = row["count"]
@@ -103,6 +53,48 @@ def fit_fourier(train: DataFrame, size: int = 256, seed: int = 42, source: str =
     )
 
 
+# --- fitted models ------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    """Weights, and how a margin becomes a probability: (slope, offset) of a logistic curve."""
+
+    weights: np.ndarray
+    curve: tuple[float, float]
+    lift: FourierFeatures | None = None
+
+    def score(self, df: DataFrame, key: str) -> DataFrame:
+        rows = df.select(key, LABEL, vector_to_array("pca").alias("x"), F.lit(ALL).alias("fold"))
+        margin = linear.margins(rows, {ALL: self.weights[None]}, [key, LABEL], self.lift)
+        m = F.col("margins")[0]
+        slope, offset = self.curve
+        return margin.select(key, LABEL, (m > 0).cast("int").alias("prediction"), (1.0 / (1.0 + F.exp(-(m * slope + offset)))).alias("score"))
+
+
+@dataclass(frozen=True)
+class ForestModel:
+    """A forest's trees in the shared folder; a point of the grid says how much of them counts."""
+
+    packs: DataFrame
+    binning: forest.Binning
+    size: int
+    seed: int
+    trees: int
+    depth: int | None
+
+    def score(self, df: DataFrame, key: str) -> DataFrame:
+        rows = self.binning.transform(df.withColumns({"id": F.col(key).cast("long"), "fold": F.lit(ALL)}), ["id", "fold"], "pca")
+        sums = forest.score_forests(self.packs.where(F.col("fold") == ALL), rows, self.seed, self.size, [self.trees], [self.depth])
+        share = F.col("s0") / F.lit(float(self.trees * forest.UNIT))
+        scored = sums.select(F.col("id").alias("__id"), share.alias("score"))
+        named = df.select(key, LABEL).join(scored, F.col(key).cast("long") == F.col("__id"))
+        return named.select(key, LABEL, (F.col("score") > 0.5).cast("int").alias("prediction"), "score")
+
+    def importances(self) -> np.ndarray:
+        return forest.importances(self.packs, ALL, self.trees, self.depth, self.size)
+
+
 @dataclass(frozen=True)
 class Fitted:
     """A chosen classifier: how it was chosen and how it scores rows."""
@@ -110,140 +102,118 @@ class Fitted:
     name: str
     best: Mapping
     cv: list[tuple[Mapping, float]]
-    model: Model
-    score_model: LogisticRegressionModel | None = field(default=None, repr=False)
-    fourier: FourierFeatures | None = field(default=None, repr=False)
+    model: LinearModel | ForestModel
 
     def predict(self, df: DataFrame, key: str = cat.KEY) -> DataFrame:
         """(model, key, label, prediction, score); score is the probability of class 1."""
-        rows = df if self.fourier is None else self.fourier.transform(df)
-        scored = self.model.transform(rows)
-        if self.score_model is not None:
-            hard = scored.select(key, LABEL, F.col("prediction").alias("hard"), "rawPrediction")
-            scored = self.score_model.transform(_margin(hard)).drop("prediction").withColumnRenamed("hard", "prediction")
-        return scored.select(
-            F.lit(self.name).alias("model"), key, F.col(LABEL).cast("int").alias("label"),
-            F.col("prediction").cast("int").alias("prediction"),
-            vector_to_array("probability")[1].alias("score"),
+        return self.model.score(df, key).select(
+            F.lit(self.name).alias("model"), key, F.col(LABEL).cast("int").alias("label"), "prediction", "score",
         )
 
 
-def _margin(scored: DataFrame) -> DataFrame:
-    margin = scored.withColumn("__m", vector_to_array("rawPrediction")[1]).drop("rawPrediction")
-    return VectorAssembler(inputCols=["__m"], outputCol="margin").transform(margin).drop("__m")
+# --- search -------------------------------------------------------------------------------
 
 
 def _points(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-@dataclass(frozen=True)
-class Family:
-    """A kind of classifier: its estimator, and what a grid point sets on it."""
+def fold_scores(rows: DataFrame, predicted: Sequence[Column]) -> list[float]:
+    """The mean over folds of class 1's F1, for each of several predictions, in one pass.
 
-    name: str
-    grid: Mapping[str, Sequence]
-    build: Callable
-    settings: Callable
-    margin: bool = False  # its score is a margin and needs a probability
-    kernel: bool = False  # it can run on cosine features
-
-
-def _forest(params) -> RandomForestClassifier:
-    # more nodes per pass over the rows than the default, for deep trees
-    return RandomForestClassifier(
-        featuresCol="pca", labelCol=LABEL, seed=params.seed, featureSubsetStrategy="sqrt",
-        maxMemoryInMB=1024,
-    )
-
-
-FAMILIES = {
-    f.name: f
-    for f in (
-        Family(
-            "LogisticRegression", cat.GRID_LOGREG,
-            lambda params: CostClassifier("logreg", iterations=params.linear_iterations),
-            lambda e, p: {e.C: p["C"]},
-        ),
-        Family(
-            "RandomForest", cat.GRID_FOREST, _forest,
-            lambda e, p: {e.numTrees: p["n_estimators"], e.maxDepth: p["max_depth"] or DEEPEST},
-        ),
-        Family(
-            "SVM", cat.GRID_SVM,
-            lambda params: CostClassifier("svm", iterations=params.linear_iterations),
-            lambda e, p: {
-                e.C: p["C"], e.featuresCol: "fourier" if p["kernel"] == "rbf" else "pca",
-            },
-            margin=True, kernel=True,
-        ),
-    )
-}
-
-
-def _inputs(family: Family, train: DataFrame, params, points: list[dict]):
-    """The rows a family trains on, and the cosine features made for them if any."""
-    if not (family.kernel and any(p["kernel"] == "rbf" for p in points)):
-        return train, None
-    fourier = fit_fourier(train, params.fourier_size, params.seed)
-    return fourier.transform(train), fourier
+    ``rows`` has y and fold. A fold without a class 1, actual or predicted, scores 0.
+    """
+    counts = []
+    for i, p in enumerate(predicted):
+        counts += [F.count_if(p & (F.col("y") == 1)).alias(f"tp{i}"), F.count_if(p != (F.col("y") == 1)).alias(f"off{i}")]
+    found = rows.groupBy("fold").agg(*counts).collect()
+    return [
+        float(np.mean([2 * r[f"tp{i}"] / max(2 * r[f"tp{i}"] + r[f"off{i}"], 1) for r in found])) if found else 0.0
+        for i in range(len(predicted))
+    ]
 
 
-def _finish(family: Family, estimator, point: dict, cv, model: Model, rows: DataFrame, fourier, folds: int) -> Fitted:
-    """Add the logistic fit that turns a margin into a probability (Platt scaling).
+def _platt(held: DataFrame, place: int) -> tuple[float, float]:
+    """The logistic curve of margins of rows that the models giving them haven't seen.
 
-    It is fitted on margins of rows that the model giving them hasn't seen: each fold's
-    margins come from a fit on the other folds.
+    Margins are standardised first; where they don't vary the curve is flat, at the class share.
     """
-    scorer = None
-    if family.margin:
-        held = []
-        for i in range(folds):
-            part = estimator.fit(rows.where(F.col("fold") != i), family.settings(estimator, point))
-            held.append(_margin(part.transform(rows.where(F.col("fold") == i)).select(LABEL, "rawPrediction")))
-        scorer = LogisticRegression(featuresCol="margin", labelCol=LABEL).fit(reduce(DataFrame.unionByName, held))
-    used = fourier if family.kernel and point["kernel"] == "rbf" else None
-    return Fitted(family.name, point, cv, model, scorer, used)
+    m = F.col("margins")[place]
+    mean, sd, share = held.agg(F.avg(m), F.stddev_pop(m), F.avg("y")).first()
+    if not sd or sd <= 1e-6 * abs(mean):
+        share = min(max(share or 0.0, 1e-9), 1 - 1e-9)
+        return 0.0, float(np.log(share / (1 - share)))
+    rows = held.select(F.array((m - mean) / sd).alias("x"), "y", "fold")
+    slope, offset = linear.fit_states(rows, "logreg", [1e3], [ALL], 1).of(ALL, 1e3)
+    return float(slope / sd), float(offset - slope * mean / sd)
+
+
+def _search_linear(kind: str, name: str, rows: DataFrame, size: int, params, points: list[dict], fold_fits: bool = True) -> Fitted:
+    """All points and folds of a linear family as states of one fit for each kernel."""
+    folds = list(range(params.folds)) if fold_fits else []
+    cv, found = [None] * len(points), {}
+    for kernel in dict.fromkeys(p.get("kernel", "linear") for p in points):
+        lift = fit_fourier(rows, params.fourier_size, params.seed) if kernel == "rbf" else None
+        at = [i for i, p in enumerate(points) if p.get("kernel", "linear") == kernel]
+        costs = [float(points[i]["C"]) for i in at]
+        states = linear.fit_states(rows, kind, costs, [*folds, ALL], len(lift.offsets) if lift else size, lift, params.linear_iterations)
+        held = None
+        if folds:
+            held = linear.margins(rows, {f: states.weights[f] for f in folds}, ["y", "fold"], lift)
+            for i, score in zip(at, fold_scores(held, [F.col("margins")[j] > 0 for j in range(len(at))])):
+                cv[i] = score
+        found |= {i: (states.of(ALL, c), lift, held, j) for j, (i, c) in enumerate(zip(at, costs))}
+    best = int(np.argmax(cv)) if folds else 0
+    weights, lift, held, place = found[best]
+    curve = (1.0, 0.0) if kind == "logreg" else _platt(held, place)
+    scores = [(p, s) for p, s in zip(points, cv)] if folds else []
+    return Fitted(name, points[best], scores, LinearModel(weights, curve, lift))
+
+
+def _search_forest(name: str, train: DataFrame, size: int, params, points: list[dict], fold_fits: bool = True) -> Fitted:
+    """All points are prefixes and cuts of one forest for each fold."""
+    binning = forest.fit_bins(train, "pca", size)
+    keyed = train.withColumns({"id": F.col(cat.KEY).cast("long"), "y": F.col(LABEL).cast("long")})
+    rows = settle(binning.transform(keyed, ["id", "y", "fold"], "pca"), "id")
+    folds = list(range(params.folds)) if fold_fits else []
+    counts = sorted({p["n_estimators"] for p in points})
+    depths = sorted({p["max_depth"] for p in points}, key=lambda d: (d is None, d))
+    packs = forest.grow_forests(rows, [*folds, ALL], max(counts), size, params.seed, depths[-1])
+    cv = [0.0] * len(points)
+    if folds:
+        sums = forest.score_forests(packs, rows.select("id", "fold", "bins"), params.seed, size, counts, depths)
+        scored = rows.select("id", "y").join(sums, "id")
+        columns = [F.col(f"s{counts.index(p['n_estimators']) * len(depths) + depths.index(p['max_depth'])}") * 2 > p["n_estimators"] * forest.UNIT for p in points]
+        cv = fold_scores(scored, columns)
+    best = points[int(np.argmax(cv))]
+    model = ForestModel(packs, binning, size, params.seed, best["n_estimators"], best["max_depth"])
+    return Fitted(name, best, list(zip(points, cv)) if folds else [], model)
+
+
+GRIDS = {"LogisticRegression": cat.GRID_LOGREG, "RandomForest": cat.GRID_FOREST, "SVM": cat.GRID_SVM}
+
+
+def _run(name: str, train: DataFrame, params, points: list[dict], fold_fits: bool) -> Fitted:
+    rows = settle(train.select(cat.KEY, LABEL, "fold", "pca"), cat.KEY)
+    first = rows.select(F.size(vector_to_array("pca")).alias("n")).first()
+    size = first["n"] if first else 0
+    if name == "RandomForest":
+        return _search_forest(name, rows, size, params, points, fold_fits)
+    flat = rows.select(vector_to_array("pca").alias("x"), F.col(LABEL).cast("double").alias("y"), F.col("fold").cast("int").alias("fold"))
+    return _search_linear("logreg" if name == "LogisticRegression" else "svm", name, flat, size, params, points, fold_fits or name == "SVM")
 
 
 def fit(name: str, train: DataFrame, params, **point) -> Fitted:
-    """One classifier at one grid point."""
-    family = FAMILIES[name]
-    rows, fourier = _inputs(family, train, params, [point])
-    rows = rows.persist()
-    try:
-        estimator = family.build(params)
-        model = estimator.fit(rows, family.settings(estimator, point))
-        return _finish(family, estimator, point, [], model, rows, fourier, params.folds)
-    finally:
-        rows.unpersist()
+    """One classifier at one grid point. An SVM's folds are fitted too, for its probabilities."""
+    return replace(_run(name, train, params, [point], False), cv=[])
 
 
 def search(name: str, train: DataFrame, params, grid: Mapping | None = None) -> Fitted:
-    """The best of a family's grid by cross-validated F1 of class 1, refitted.
+    """The best of a family's grid by cross-validated F1 of class 1, with its fit on all rows.
 
-    Fits run ``params.parallelism`` at a time. Both kernels of the SVM are one search: the
-    grid also chooses the input column.
+    Grid points and folds share the passes over the rows: see ``linear`` and ``forest``.
     """
-    family = FAMILIES[name]
-    points = _points(family.grid if grid is None else grid)
-    rows, fourier = _inputs(family, train, params, points)
-    rows = rows.persist()
-    try:
-        estimator = family.build(params)
-        judge = MulticlassClassificationEvaluator(
-            labelCol=LABEL, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0
-        )
-        fitted = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=[family.settings(estimator, p) for p in points],
-            evaluator=judge, numFolds=params.folds, foldCol="fold", parallelism=params.parallelism,
-        ).fit(rows)
-        scores = [float(m) for m in fitted.avgMetrics]
-        best = points[int(np.argmax(scores))]
-        return _finish(family, estimator, best, list(zip(points, scores)), fitted.bestModel, rows, fourier, params.folds)
-    finally:
-        rows.unpersist()
+    return _run(name, train, params, _points(GRIDS[name] if grid is None else grid), True)
 
 
 def best_of(fits: Sequence[Fitted]) -> Fitted:
@@ -252,7 +222,7 @@ def best_of(fits: Sequence[Fitted]) -> Fitted:
     return replace(winner, cv=[point for f in fits for point in f.cv])
 
 
-def select_models(prepared: Prepared, params, names: Sequence[str] = tuple(FAMILIES)) -> list[Fitted]:
+def select_models(prepared: Prepared, params, names: Sequence[str] = tuple(GRIDS)) -> list[Fitted]:
     """Search every named family on the prepared training rows."""
     train = prepared.train.select(cat.KEY, LABEL, "fold", "pca")
     return [search(name, train, params) for name in names]
@@ -287,7 +257,7 @@ def model_summary(fits: Sequence[Fitted], scored: DataFrame) -> DataFrame:
 
 def forest_importances(fit: Fitted, spark) -> DataFrame:
     """(component, importance) of a forest, strongest first."""
-    values = fit.model.featureImportances.toArray()
+    values = fit.model.importances()
     rows = [(f"PC{i + 1}", float(v)) for i, v in enumerate(values)]
     return spark.createDataFrame(rows, "component string, importance double").orderBy(
         F.col("importance").desc(), "component"

@@ -420,13 +420,13 @@ def _searched(spark, sf_dir, name: str) -> models.Fitted:
     """A family searched over its whole grid; the SVM's kernels are searched in turn."""
 
     def build() -> models.Fitted:
-        family = models.FAMILIES[name.split()[0]]
-        grid = dict(family.grid)
-        if " " in name:
-            grid["kernel"] = [name.split()[1]]
-        elif family.kernel:
+        family, _, kernel = name.partition(" ")
+        grid = dict(models.GRIDS[family])
+        if kernel:
+            grid["kernel"] = [kernel]
+        elif "kernel" in grid:
             return models.best_of([_searched(spark, sf_dir, f"{name} {k}") for k in grid["kernel"]])
-        return models.search(family.name, _training(spark, sf_dir), PARAMS, grid)
+        return models.search(family, _training(spark, sf_dir), PARAMS, grid)
 
     return _once(f"search {name}", spark, sf_dir, build)
 
@@ -439,7 +439,7 @@ def classify(name, spark, sf_dir):
 
 
 def _best(spark, sf_dir) -> list[models.Fitted]:
-    return [_searched(spark, sf_dir, name) for name in models.FAMILIES]
+    return [_searched(spark, sf_dir, name) for name in models.GRIDS]
 
 
 def grid_search_cv(spark, sf_dir):

@@ -66,7 +66,7 @@ def measures(scored: DataFrame) -> dict[str, DataFrame]:
 
 
 def run(
-    raw: DataFrame, out: str, params: Params = Params(), families: Sequence[str] = tuple(models.FAMILIES),
+    raw: DataFrame, out: str, params: Params = Params(), families: Sequence[str] = tuple(models.GRIDS),
     resampled: bool = True,
 ) -> DataFrame:
     """Write all tables under ``out`` and return the model summary.

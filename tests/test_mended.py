@@ -71,7 +71,7 @@ def test_one_cell_or_several_are_close(spark):
 def test_scores_come_from_rows_not_fitted(spark, raw):
     train = prepare.prepare(raw, Params()).train.select(cat.KEY, "Target", "fold", "pca")
     fitted = models.search("SVM", train, Params(fourier_size=16), {"C": (1.0,), "kernel": ("linear", "rbf")})
-    assert len(fitted.cv) == 2 and fitted.score_model is not None
+    assert len(fitted.cv) == 2 and len(fitted.model.curve) == 2
     scored = fitted.predict(train)
     assert scored.where("score between 0 and 1").count() == train.count()
 

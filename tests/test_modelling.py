@@ -181,8 +181,7 @@ def test_the_leak_shows(raw, ready):
 
 def test_cosine_features_approximate_the_kernel(spark, ready):
     x, _ = vectors(ready.train.limit(60), "pca")
-    fourier = models.fit_fourier(ready.train, size=8000)
-    z = np.sqrt(2 / 8000) * np.cos(x @ fourier.weights + fourier.offsets)
+    z = models.fit_fourier(ready.train.select(vector_to_array("pca").alias("x")), size=8000)(x)
     everything, _ = vectors(ready.train, "pca")
     gamma = 1 / (x.shape[1] * everything.var())
     kernel = np.exp(-gamma * ((x[:, None] - x[None]) ** 2).sum(2))
