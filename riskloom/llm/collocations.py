@@ -5,7 +5,7 @@ with nulls. Only these longest windows are counted. A phrase is a prefix of the
 its first word leads, so a ROLLUP over the lead columns adds up the counts of every shorter
 phrase.
 
-Windows are cut where no frequent phrase can go on: at a word, or at two or three neighbours,
+Windows are cut where no frequent phrase can go on: at a word, or at two to four neighbours,
 whose hash slot holds fewer than ``least`` occurrences. Slots are bitmaps of fixed size, counted
 over the whole corpus; words that share a slot only make windows longer than they need be.
 """
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import GOLD, chunks, mix, ready, settle
 
 LONGEST = 5
-#: Slots for words, pairs and triples, a bit each: 18 MB in every task, at any size of the corpus.
-SLOTS = (1 << 24, 1 << 26, 1 << 26)
+#: Slots for runs of one to four words, a bit each: 26 MB in every task, at any size of the corpus.
+SLOTS = (1 << 24, 1 << 26, 1 << 26, 1 << 26)
+HELD_ROWS = 1 << 19  # counted windows that a task holds to add up those of several chunks
 
 LEADS = [f"w{i}" for i in range(1, LONGEST + 1)]
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -118,26 +119,40 @@ def _run_counts(batches: Iterator[pa.RecordBatch], width: int, bitmaps: list) ->
         yield pa.RecordBatch.from_pydict({"slot": pa.array(slots, pa.int32()), "n": pa.array(n, pa.int64())})
 
 
+def _added(tables: list[pa.Table]) -> pa.Table:
+    """One table with the counts of equal windows added up."""
+    total = pa.concat_tables(tables).group_by(["lang", *LEADS], use_threads=False).aggregate([("n", "sum")])
+    return total.rename_columns({"n_sum": "n"}).select(["lang", *LEADS, "n"])
+
+
 def _windows(batches: Iterator[pa.RecordBatch], bitmaps: list) -> Iterator[pa.RecordBatch]:
+    """Counted windows, those of a task's chunks added up as far as ``HELD_ROWS`` allows."""
+    held: list[pa.Table] = []
     for batch in chunks(batches, "text"):
-        chunk = Chunk(batch)
-        if not len(chunk.code):
-            continue
-        goes_on = [chunk.frequent(w, [b.value for b in bitmaps]) for w in range(1, min(LONGEST, len(chunk.code)) + 1)]
-        lead = np.flatnonzero(goes_on[0])
-        code = np.r_[chunk.code, np.zeros(LONGEST, dtype=np.int64)]
-        columns = [code[lead].astype(np.int32)]
-        for i in range(1, LONGEST):
-            open_ = np.zeros(len(chunk.code), dtype=bool)
-            if i < len(goes_on):
-                open_[: len(goes_on[i])] = goes_on[i]
-            columns.append(np.where(open_[lead], code[lead + i], -1).astype(np.int32))
-        table = pa.table({"lang": chunk.lang[lead], **dict(zip(LEADS, columns))})
-        counted = table.group_by(["lang", *LEADS], use_threads=False).aggregate([([], "count_all")])
-        names = chunk.words.cast(pa.string())
-        taken = {w: names.take(pa.compute.if_else(pa.compute.less(counted[w], 0), None, counted[w])) for w in LEADS}
-        whole = pa.table({"lang": chunk.langs.take(counted["lang"]), **taken, "n": counted["count_all"]})
-        yield from whole.combine_chunks().to_batches(max_chunksize=1 << 16)
+        held.append(_counted_windows(Chunk(batch), [b.value for b in bitmaps]))
+        if sum(t.num_rows for t in held) > HELD_ROWS:
+            held = [_added(held)]
+            if held[0].num_rows > HELD_ROWS // 2:
+                yield from held.pop().combine_chunks().to_batches(max_chunksize=1 << 16)
+    if held:
+        yield from _added(held).combine_chunks().to_batches(max_chunksize=1 << 16)
+
+
+def _counted_windows(chunk: Chunk, bitmaps: list[np.ndarray]) -> pa.Table:
+    goes_on = [chunk.frequent(w, bitmaps) for w in range(1, min(LONGEST, len(chunk.code)) + 1)]
+    lead = np.flatnonzero(goes_on[0]) if goes_on else np.zeros(0, dtype=np.int64)
+    code = np.r_[chunk.code, np.zeros(LONGEST, dtype=np.int64)]
+    columns = [code[lead].astype(np.int32)]
+    for i in range(1, LONGEST):
+        open_ = np.zeros(len(chunk.code), dtype=bool)
+        if i < len(goes_on):
+            open_[: len(goes_on[i])] = goes_on[i]
+        columns.append(np.where(open_[lead], code[lead + i], -1).astype(np.int32))
+    table = pa.table({"lang": chunk.lang[lead], **dict(zip(LEADS, columns))})
+    counted = table.group_by(["lang", *LEADS], use_threads=False).aggregate([([], "count_all")])
+    names = chunk.words.cast(pa.string())
+    taken = {w: names.take(pa.compute.if_else(pa.compute.less(counted[w], 0), None, counted[w])) for w in LEADS}
+    return pa.table({"lang": chunk.langs.take(counted["lang"]), **taken, "n": counted["count_all"]})
 
 
 def _bitmap(slots: DataFrame, size: int) -> np.ndarray:

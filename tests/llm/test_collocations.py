@@ -62,7 +62,8 @@ def test_empty_table_and_shared_slots(spark, monkeypatch):
     assert co.collocations(frame(spark, [("en", "a b")]).limit(0)).collect() == []
     docs = [("en", " ".join(f"w{(i * i + j) % 17}" for j in range(30))) for i in range(40)]
     expected = brute(docs, 30)
-    monkeypatch.setattr(co, "SLOTS", (64, 64, 64))
+    monkeypatch.setattr(co, "SLOTS", (64, 64, 64, 64))
+    monkeypatch.setattr(co, "HELD_ROWS", 50)
     assert rows(co.collocations(frame(spark, docs), 30)) == expected
 
 
