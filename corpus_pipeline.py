@@ -1,4 +1,17 @@
-"""A corpus pipeline: good documents, without boilerplate, copies and leaks, packed for training."""
+"""A corpus pipeline: good documents, without boilerplate, copies and leaks, packed for training.
+
+What every stage does with odd input:
+
+- null and empty texts: the classifier scores them like any other text; they have no lines and
+  hold no benchmark item; they share fingerprint zero, so near-dedup keeps one of them; packing
+  gives them a piece of the end id alone.
+- very long texts are read whole, each by one task.
+- rows repeated in full and ties on doc_id: the classifier and line dedup treat each row by
+  itself, a repeated row counting once for its site; near-dedup keeps one row of a group;
+  packing packs every row that it gets.
+- an empty table gives an empty table with the same columns, and packing its own.
+- further columns, whatever their names, pass through all stages but the last unchanged.
+"""
 
 from __future__ import annotations
 
@@ -24,10 +37,17 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without cross-site lines; n_chars counts what is left of a changed text."""
-    clean = dedup_lines(docs)
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", n_chars).select(docs.columns)
+    """All documents, without cross-site lines; n_chars counts what is left of a changed text.
+
+    A caller's own columns named as the operator's results pass unchanged, and a table without
+    n_chars gets none.
+    """
+    own = {c: f"_own_{c}" for c in docs.columns if c in ("n_lines", "n_removed")}
+    clean = dedup_lines(docs.withColumnsRenamed(own))
+    if "n_chars" in docs.columns:
+        left = F.length("text").cast(docs.schema["n_chars"].dataType)
+        clean = clean.withColumn("n_chars", F.when(F.col("n_removed") > 0, left).otherwise(F.col("n_chars")))
+    return clean.select([F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
