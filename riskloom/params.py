@@ -19,9 +19,7 @@ class Params:
     cluster_smote_threshold: float | None = 0.01
     # False keeps every label-derived column in the model inputs
     leak_guard: bool = True
-    # iterations that a linear fit may take; reaching them is reported
+    # passes that a linear fit may take; reaching them is reported
     linear_iterations: int = 1_000
     # random cosine features that stand for the RBF kernel
     fourier_size: int = 256
-    # concurrent fits submitted by the grid search
-    parallelism: int = 4

@@ -164,16 +164,17 @@ _TRAIN = "filter (where part = 'train') over ()"
 NUMERIC = [c for c in (*cat.NUMBERS, cat.RATIO, *cat.FLAGS)]
 
 
-def describe_sql(places: int) -> str:
+def describe_sql(places: int, columns: dict[str, str] | None = None) -> str:
+    """``columns`` gives the features that are described and the column each one reads."""
     rows = [
-        f"select {text(c)} as feature, count({c}) as count, {dec(f'avg({c})', places)} as mean,"
+        f"select {text(name)} as feature, count({c}) as count, {dec(f'avg({c})', places)} as mean,"
         f" {dec(f'stddev_samp({c})', places)} as std, {dec(f'cast(min({c}) as double)', places)} as min,"
         + "".join(
             f" {dec(f'quantile_cont(cast({c} as double), {p})', places)} as {n},"
             for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
         )
         + f" {dec(f'cast(max({c}) as double)', places)} as max from v"
-        for c in NUMERIC
+        for name, c in (columns or {c: c for c in NUMERIC}).items()
     ]
     return on_view(" union all ".join(rows))
 
@@ -398,6 +399,8 @@ def sql_texts() -> dict[str, str]:
         "select_numeric": on_apps(select_from_apps(numbers)),
         "one_hot_drop_first": one_hot_sql(),
         "describe_numeric": describe_sql(6),
+        "describe_inputs": describe_sql(
+            6, {c: c for c in NUMERIC if c != cat.LABEL} | {cat.repeat_name(c): c for c in cat.REPEATED if c in NUMERIC}),
         "round2": describe_sql(2).replace(" + 0.0", ""),
         "class_balance": on_apps(
             f"select {cat.LABEL}, count(*) as n, {dec('100.0 * count(*) / sum(count(*)) over ()')} as percent"

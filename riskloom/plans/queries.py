@@ -183,6 +183,13 @@ def describe_numeric(spark, sf_dir):
     return digits(described(_view(spark, sf_dir)))
 
 
+def describe_inputs(spark, sf_dir):
+    """The other description: without the label, with the repeated columns."""
+    view = _view(spark, sf_dir)
+    columns = [c for c in features.numeric_columns(view) if c not in (cat.KEY, cat.LABEL)]
+    return digits(eda.describe_numeric(view, columns))
+
+
 def round2(spark, sf_dir):
     return eda.rounded(described(_view(spark, sf_dir)), 2)
 
@@ -459,6 +466,15 @@ def logreg_checked(spark, sf_dir):
     )
 
 
+def confusion_matrix_fitted(spark, sf_dir):
+    """Of each family's best model on the test rows."""
+    return evaluate.confusion_matrix(predict(spark, sf_dir), ["model"])
+
+
+def pr_curve_fitted(spark, sf_dir):
+    return digits(evaluate.pr_curve(predict(spark, sf_dir), ["model"]))
+
+
 def _summary(spark, sf_dir) -> DataFrame:
     fits = _best(spark, sf_dir)
     return models.model_summary(fits, models.predictions(fits, _prepared(spark, sf_dir).test))
@@ -524,7 +540,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found |= {f.__name__: f for f in (
         map_values, target_encode, fill_unknown, sex_from_status, drop_if_exists, select_numeric,
         one_hot_drop_first, round2, group_columns,
-        describe_numeric, class_balance, class_counts_split, class_counts_resampled,
+        describe_numeric, describe_inputs, class_balance, class_counts_split, class_counts_resampled,
         category_risk_counts, crosstab_pct, corr_to_target, corr_matrix, box_stats, box_outliers,
         kde_by_class, qq_normal, qq_fit, no_skill_rate,
         sort_categories, topk_abs_corr, cum_variance, n_components_95,
@@ -536,7 +552,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )}
     found |= {name: partial(classify, name) for name in _SEARCHES}
     found |= {f.__name__: f for f in (
-        grid_search_cv, predict, logreg_checked, metrics_prf, pr_curve, pr_auc, confusion_matrix,
+        grid_search_cv, predict, confusion_matrix_fitted, pr_curve_fitted, logreg_checked, metrics_prf, pr_curve, pr_auc, confusion_matrix,
         model_compare, rf_importances, sink_importances, sink_model_summary,
     )}
     found["sort_importances"] = rf_importances

@@ -177,3 +177,20 @@ def test_flat_margins_give_the_class_share(spark):
     held = spark.createDataFrame([([1.0], float(i % 4 > 0), i % 2) for i in range(80)], "margins array<double>, y double, fold int")
     slope, offset = models._platt(held, 0)
     assert slope == 0 and np.isclose(1 / (1 + np.exp(-offset)), 0.75)
+
+
+def test_fitted_measures_agree_with_the_predictions(spark, monkeypatch):
+    from conftest import SMALL
+
+    from riskloom.plans import queries
+
+    monkeypatch.setattr(models, "GRIDS", {"LogisticRegression": {"C": (0.1, 1.0)}, "RandomForest": {"n_estimators": (5,), "max_depth": (4,)}})
+    monkeypatch.setattr(queries, "_cache", {})
+    said = {}
+    for r in queries.predict(spark, SMALL).collect():
+        said.setdefault(r["model"], []).append((r["label"], r["prediction"]))
+    cells = {(r["model"], r["actual"], r["predicted"]): r["n"] for r in queries.confusion_matrix_fitted(spark, SMALL).collect()}
+    assert cells == {(m, a, p): rows.count((a, p)) for m, rows in said.items() for a in (0, 1) for p in (0, 1)}
+    curve = queries.pr_curve_fitted(spark, SMALL)
+    assert curve.where("threshold is null").count() == len(said) == 2
+    assert queries.grid_search_cv(spark, SMALL).count() == 3
