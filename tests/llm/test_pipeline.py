@@ -82,3 +82,24 @@ def test_run_is_the_stages_and_is_registered(spark, small, steps):
 def test_every_operator_has_a_query():
     names = [n for n in contract.queries() if n.startswith("op")]
     assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14))
+
+
+def test_a_caller_s_columns_pass_line_dedup(spark, small, documents):
+    line = "the same boilerplate line that many sites repeat word for word"
+    docs = documents((1, f"own text of one\n{line}", "a"), (2, None, "b"), (3, "", "c"), (3, "", "c"), *[(i, f"text {i}\n{line}", f"s{i}") for i in range(10, 40)])
+    docs = docs.selectExpr("*", "'mine' as n_lines", "cast(doc_id as string) as n_removed")
+    out = corpus_pipeline.line_dedup(spark, docs, small)
+    assert out.dtypes == docs.dtypes and out.count() == docs.count()
+    assert out.where("n_lines = 'mine' and n_removed = cast(doc_id as string)").count() == docs.count()
+    assert ids(out.where(f"contains(text, '{line}')")) == [1]  # it stays where it comes first
+    assert out.where("n_chars <> length(text)").count() == 0
+    bare = corpus_pipeline.line_dedup(spark, docs.drop("n_chars"), small)
+    assert "n_chars" not in bare.columns and bare.count() == docs.count()
+
+
+def test_an_empty_table_passes_the_stages(spark, small, documents):
+    docs = documents((1, "x")).limit(0)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, docs, small)
+        assert out.columns == docs.columns and out.count() == 0
+    assert corpus_pipeline.packing(spark, docs, small).count() == 0
