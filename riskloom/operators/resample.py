@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.functions.hashing import hash_key, hash_uniform
+from riskloom.operators.neighbours import fast_distances, nearest
 from riskloom.operators.ordering import fit_hash_cuts, running_sums
 
 # rows per block: the distances between two blocks take 32 MB
@@ -26,11 +27,10 @@ BLOCK_ROWS = 2_048
 # majority rows per undersampling cell
 CELL_ROWS = 2_000
 
-_NEAR = "grp int, id bigint, neighbour bigint, dist double"
 _SPREAD = "grp int, total double"
 
 
-# --- nearest neighbours ---------------------------------------------------------------
+# --- distances between all rows -------------------------------------------------------
 
 
 def _sorted_rows(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -38,37 +38,6 @@ def _sorted_rows(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return pdf["id"].to_numpy()[order], np.stack(pdf["x"].to_numpy()[order])
 
 
-def _fast_distances(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Squared distances by one matrix product, and a bound on their rounding error."""
-    xx, yy = (x * x).sum(1), (y * y).sum(1)
-    bound = 1e-14 * (x.shape[1] + 8) * float(xx.max() + yy.max())
-    return xx[:, None] + yy[None, :] - 2.0 * (x @ y.T), bound
-
-
-def _closest(ids, x, others, y, fast: np.ndarray, bound: float, k: int) -> pd.DataFrame:
-    """The k closest of ``others`` to each of ``ids``, by exact distance, then by id.
-
-    The fast distances only rule out rows too far to matter, with room for their rounding
-    error. The rest are measured coordinate by coordinate, so reruns agree to the bit.
-    """
-    fast = np.where(ids[:, None] == others[None, :], np.inf, fast)
-    reach = np.full(len(ids), np.inf)
-    if fast.shape[1] > k:
-        reach = np.partition(fast, k - 1, axis=1)[:, k - 1] + 2.0 * bound
-    row, col = np.nonzero((fast <= reach[:, None]) & np.isfinite(fast))
-    dist = np.zeros(len(row))
-    for d in range(x.shape[1]):
-        step = x[row, d] - y[col, d]
-        dist += step * step
-    order = np.lexsort((others[col], dist, row))
-    row, col, dist = row[order], col[order], dist[order]
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    kept = place < k
-    return pd.DataFrame(
-        {"id": ids[row[kept]], "neighbour": others[col[kept]], "dist": dist[kept]}
-    )
-
-
 def _block_pairs(points: DataFrame):
     """Rows (grp, id, x) grouped so that each two blocks a <= b of a group meet once.
 
@@ -95,32 +64,6 @@ def _two_blocks(rows: pd.DataFrame):
     return None if first.empty or second.empty else (a == b, _sorted_rows(first), _sorted_rows(second))
 
 
-def nearest(points: DataFrame, k: int) -> DataFrame:
-    """The exact k nearest others of each row in its group, as (grp, id, place, neighbour).
-
-    Every pair of blocks is one task's work and gives k candidates per row; the candidates
-    of a row, k per block, are then ranked. Ties go to the lower id. The comparisons grow
-    with the square of a group, as exact search in many dimensions does.
-    """
-
-    def pair(rows: pd.DataFrame) -> pd.DataFrame:
-        found = pd.DataFrame({"id": [], "neighbour": [], "dist": []})
-        blocks = _two_blocks(rows)
-        if blocks is not None:
-            same, (ids, x), (others, y) = blocks
-            fast, bound = _fast_distances(x, y)
-            found = _closest(ids, x, others, y, fast, bound, k)
-            if not same:
-                found = pd.concat([found, _closest(others, y, ids, x, fast.T, bound, k)])
-        return found.assign(grp=rows["grp"].iloc[0])[["grp", "id", "neighbour", "dist"]]
-
-    near = _block_pairs(points).applyInPandas(pair, _NEAR)
-    place = F.row_number().over(Window.partitionBy("grp", "id").orderBy("dist", "neighbour"))
-    return near.withColumn("place", place).where(F.col("place") <= k).select(
-        "grp", "id", "place", "neighbour"
-    )
-
-
 def mean_distance(points: DataFrame) -> DataFrame:
     """(grp, rows, mean_distance) over all pairs of distinct rows of each group."""
 
@@ -129,7 +72,7 @@ def mean_distance(points: DataFrame) -> DataFrame:
         blocks = _two_blocks(rows)
         if blocks is not None:
             same, (_, x), (_, y) = blocks
-            fast, _ = _fast_distances(x, y)
+            fast, _ = fast_distances(x, y)
             if same:
                 np.fill_diagonal(fast, 0.0)
             total = np.sqrt(np.maximum(fast, 0.0)).sum() * (1.0 if same else 2.0)
