@@ -54,16 +54,17 @@ def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return dist
 
 
-def closest(ids, x, others, y, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def closest(ids, x, others, y, k: int, reach: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, other, squared distance) of the k closest ``others`` to each of ``ids``.
 
-    By exact distance, then by id, and none to itself. Fast distances only rule out rows too
-    far to matter, with room for their rounding error.
+    By exact distance, then by id, and none to itself; none beyond ``reach`` where it is
+    given. Fast distances only rule out rows too far to matter, with room for their rounding
+    error.
     """
     fast, bound = fast_distances(x, y)
     fast[ids[:, None] == others[None, :]] = np.inf
-    limit = np.full(len(ids), np.inf)
-    if fast.shape[1] > k:
+    limit = np.full(len(ids), np.inf) if reach is None else reach * reach * (1 + 1e-12) + bound
+    if reach is None and fast.shape[1] > k:
         limit = np.partition(fast, k - 1, axis=1)[:, k - 1] + 2.0 * bound
     row, col = np.nonzero((fast <= limit[:, None]) & np.isfinite(fast))
     return _first(row, col, _exact(x[row], y[col]), others[col], k)
@@ -104,7 +105,7 @@ class Cells:
             [cells[np.argmin(self.squares(x[at : at + STEP], cells), axis=1)] for at in range(0, len(x), STEP)]
         )
 
-    def leave_room(self, x: np.ndarray, own: np.ndarray, reach: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def leave_room(self, x: np.ndarray, own: np.ndarray, reach: np.ndarray, cells: np.ndarray, boxes: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(row, place in ``cells``) where a row of the cell may lie within ``reach``.
 
         Every bound gives way by the rounding error of the distances that it is made of.
@@ -118,6 +119,8 @@ class Cells:
         # rows of the cell are nearer to its pivot than to this row's, so a plane lies between
         room &= square - to_own[:, None] - 6 * self.error <= 2 * (apart + slack) * limit[:, None]
         row, col = np.nonzero(room)
+        if not boxes:
+            return row, col
         gap = np.zeros(len(row))
         for d in range(x.shape[1]):
             v, c = x[row, d], cells[col]
@@ -150,7 +153,7 @@ def _shelve(cells: Cells, sizes: np.ndarray, shelf_rows: int) -> None:
         shelf, held = shelf + 1, 0
 
 
-def _fit_pivots(points: DataFrame, rows: int) -> Cells:
+def _fit_pivots(points: DataFrame, rows: int, norm: float) -> Cells:
     """Pivots drawn by a hash of the id: about one per CELL_ROWS rows, and one per group at least."""
     share = min(1.0, min(PIVOTS, -(-rows // CELL_ROWS)) / rows)
     digest = F.pmod(F.xxhash64(F.lit("pivot"), "id"), F.lit(1 << 30))
@@ -159,8 +162,7 @@ def _fit_pivots(points: DataFrame, rows: int) -> Cells:
     found = sorted(
         {(r["grp"], r["id"]): r["x"] for r in drawn.unionByName(each.select("grp", "p.id", "p.x")).collect()}.items()
     )
-    norm = points.agg(F.max(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))).first()[0]
-    return Cells(np.array([g for (g, _), _ in found]), np.array([x for _, x in found], dtype=float), float(norm))
+    return Cells(np.array([g for (g, _), _ in found]), np.array([x for _, x in found], dtype=float), norm)
 
 
 def _merged(points: DataFrame, k: int) -> DataFrame:
@@ -237,15 +239,14 @@ def _searched(bounded: DataFrame, cells, k: int) -> DataFrame:
             found = []
             for at in range(0, len(ids), STEP):
                 part = slice(at, at + STEP)
-                row, col = known.leave_room(x[part], own[part], reach[part], here_cells)
+                row, col = known.leave_room(x[part], own[part], reach[part], here_cells, boxes=False)
                 for c in np.unique(col):
                     a = at + row[col == c]
                     lo, hi = np.searchsorted(cell, [here_cells[c], here_cells[c] + 1])
                     for low in range(lo, hi, STEP):
                         b = slice(low, min(hi, low + STEP))
-                        r, o, d = closest(ids[a], x[a], others[b], y[b], k)
-                        good = np.sqrt(d) <= reach[a[r]] * (1 + 1e-12)
-                        found.append((a[r[good]], low + o[good], d[good]))
+                        r, o, d = closest(ids[a], x[a], others[b], y[b], k, reach[a])
+                        found.append((a[r], low + o, d))
             if found:
                 row, col, dist = (np.concatenate(p) for p in zip(*found))
                 out = _first(row, col, dist, others[col], k)
@@ -271,10 +272,11 @@ def nearest(points: DataFrame, k: int) -> DataFrame:
     """
     spark = points.sparkSession
     merged = settle(_merged(points, k), "id")
-    rows = merged.count()
+    norms = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
+    rows, norm = merged.agg(F.count("*"), F.max(norms)).first()
     if not rows:
         return spark.createDataFrame([], "grp int, id bigint, place int, neighbour bigint")
-    cells = _fit_pivots(merged, rows)
+    cells = _fit_pivots(merged, rows, norm)
     pivots = spark.sparkContext.broadcast(cells)
 
     def place(batches):

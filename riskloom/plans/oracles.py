@@ -305,27 +305,52 @@ def one_hot_sql() -> str:
     return on_view(f"select {KEY}, {', '.join(dummies)} from v")
 
 
-def smote_sql() -> str:
+def smote_sql(few: str, columns: dict[str, str]) -> str:
+    """SMOTE by comparing all pairs: ``few`` gives the CTEs up to few(id, ...), the minority's
+    rows, and ``columns`` names each result with the column of few that it is made from."""
     k = PARAMS.smote_neighbours
+    square = " + ".join(f"(p.{c} - q.{c}) * (p.{c} - q.{c})" for c in columns.values())
+    values = ", ".join(f"{dec(f'b.{c} + b.gap * (o.{c} - b.{c})')} as {name}" for name, c in columns.items())
     return on_view(
-        f"select 0 as \"Target\", b.id, cast(b.copy as int) as copy,"
-        f" {dec('b.a + b.gap * (o.a - b.a)')} as amount, {dec('b.d + b.gap * (o.d - b.d)')} as duration"
+        f"select 0 as \"Target\", b.id, cast(b.copy as int) as copy, {values}"
         " from bases b join near n on b.id = n.id and b.pick = n.place join few o on o.id = n.other",
         SPLIT,
-        f"few as (select {KEY} as id, cast({cat.AMOUNT} as double) as a, cast({cat.DURATION} as double) as d"
-        " from split where part = 'train' and \"Target\" = 0)",
+        few,
         "sizes as (select count(*) filter (where \"Target\" = 0) as small,"
         " count(*) filter (where \"Target\" = 1) as big from split where part = 'train')",
-        f"near as (select id, other, place from (select p.id, q.id as other, row_number() over (partition by p.id"
-        " order by (p.a - q.a) * (p.a - q.a) + (p.d - q.d) * (p.d - q.d), q.id) as place"
-        f" from few p join few q on p.id <> q.id) where place <= {k})",
+        "near as (select id, other, place from (select p.id, q.id as other, row_number() over (partition by p.id"
+        f" order by {square}, q.id) as place from few p join few q on p.id <> q.id) where place <= {k})",
         f"ranked as (select *, row_number() over (order by md5(concat('{PARAMS.seed}:base:', id))) as rn from few)",
         "quota as (select r.*, (big - small) // small + cast(rn <= (big - small) % small as int) as copies"
         " from ranked r, sizes)",
         f"bases as (select *, cast(floor({uniform('neighbour', 'id', 'copy')} * {k}) as int) + 1 as pick,"
         f" {uniform('gap', 'id', 'copy')} as gap from"
-        " (select id, a, d, unnest(range(1, copies + 1)) as copy from quota))",
+        f" (select id, {', '.join(columns.values())}, unnest(range(1, copies + 1)) as copy from quota))",
+    )
+
+
+def smote_amounts_sql() -> str:
+    few = (
+        f"few as (select {KEY} as id, cast({cat.AMOUNT} as double) as a, cast({cat.DURATION} as double) as d"
+        " from split where part = 'train' and \"Target\" = 0)"
+    )
+    return smote_sql(few, {"amount": "a", "duration": "d"})
+
+
+def smote_inputs_sql() -> str:
+    filled = filled_inputs()
+    names = {c: f"x{i}" for i, c in enumerate(filled)}
+    values = ", ".join(f"{sql} as {names[c]}" for c, sql in filled.items())
+    whole = ", ".join(
+        f"({x} - min({x}) over ()) / coalesce(nullif(max({x}) over () - min({x}) over (), 0), 1) as {x}"
+        for x in names.values()
+    )
+    few = (
+        f"inputs as (select {KEY} as id, \"Target\", part, {values} from split), "
+        f"scaled as (select id, \"Target\", {whole} from inputs where part = 'train'), "
+        "few as (select * from scaled where \"Target\" = 0)"
     )
+    return smote_sql(few, names)
 
 
 RESAMPLED = on_view(
@@ -451,7 +476,8 @@ def sql_texts() -> dict[str, str]:
         "standardize": scaled_sql(f"avg({{c}}) {_TRAIN}", f"stddev_pop({{c}}) {_TRAIN}"),
         "minmax_scale": scaled_sql(
             f"min({{c}}) {_TRAIN}", f"(max({{c}}) {_TRAIN} - min({{c}}) {_TRAIN})"),
-        "smote": smote_sql(),
+        "smote": smote_amounts_sql(),
+        "smote_inputs": smote_inputs_sql(),
         "pca_spectrum": spectrum_sql(),
         "logreg_checked": on_view(
             "select $$LogisticRegression$$ as model, count(*) as n, count(*) as n_keys, cast(sum(\"Target\") as bigint) as n_good,"

@@ -15,7 +15,7 @@ from riskloom.functions import codes
 from riskloom.functions.codes import q
 from riskloom.operators import eda, evaluate, features, models, prepare, resample
 from riskloom.params import Params
-from riskloom.session import scratch_path, tune
+from riskloom.session import scratch_path, settle, tune
 from riskloom.sources import readers, writers
 from riskloom.sources.sample import sample_applications
 
@@ -393,6 +393,19 @@ def smote(spark, sf_dir):
     )
 
 
+def smote_inputs(spark, sf_dir):
+    """On all inputs, each brought to [0, 1]."""
+    split, fill = _filled(spark, sf_dir)
+    train = split.where("part = 'train'").select(
+        cat.KEY, "Target", *[F.coalesce(q(c).cast("double"), F.lit(v)).alias(c) for c, v in fill.items()]
+    )
+    scaled = prepare.fit_minmax(train, list(fill)).transform(train)
+    points = scaled.select(F.col(cat.KEY).alias("id"), "Target", F.array(*[q(c) for c in fill]).alias("x"))
+    # read by every step of the search
+    made = resample.smote(settle(points, "id"), k=PARAMS.smote_neighbours, seed=PARAMS.seed)
+    return digits(made.select("Target", "id", "copy", *[F.col("x")[i].alias(c) for i, c in enumerate(fill)]))
+
+
 def smote_components(spark, sf_dir):
     return resample.smote(_points(spark, sf_dir), k=PARAMS.smote_neighbours, seed=PARAMS.seed)
 
@@ -548,7 +561,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )}
     found |= {f.__name__: f for f in (
         standardize, minmax_scale, pca_full, pca_spectrum, pca_k, pca_2d, undersample_centroids,
-        smote, smote_components, kmeans_smote, kmeans_smote_balanced,
+        smote, smote_inputs, smote_components, kmeans_smote, kmeans_smote_balanced,
     )}
     found |= {name: partial(classify, name) for name in _SEARCHES}
     found |= {f.__name__: f for f in (
