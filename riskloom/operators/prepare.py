@@ -183,7 +183,7 @@ def fit_vector_scaler(train: DataFrame, name: str = "raw") -> VectorScaler:
 
 @dataclass(frozen=True)
 class Components:
-    """Fitted components; the sign of each makes its largest loading positive."""
+    """Fitted components; the sign of each makes its largest loading positive, of equal ones the first."""
 
     model: PCAModel
     signs: list[float] = field(repr=False)
@@ -193,6 +193,11 @@ class Components:
     def ratios(self) -> list[float]:
         return [float(x) for x in self.model.explainedVariance.toArray()]
 
+    @property
+    def loadings(self) -> np.ndarray:
+        """Inputs by components, with the signs of the scores."""
+        return self.model.pc.toArray() * np.array(self.signs)
+
     def kept(self, share: float) -> int:
         """The fewest components that explain ``share`` of the variance, else all."""
         total = np.cumsum(self.ratios)
@@ -216,7 +221,9 @@ def fit_components(train: DataFrame, size: int, source: str = "scaled") -> Compo
     """
     model = PCA(k=size, inputCol=source, outputCol="__pca").fit(train)
     loadings = model.pc.toArray()
-    peak = loadings[np.abs(loadings).argmax(0), np.arange(loadings.shape[1])]
+    # complementary flags load alike but for the sign: the first of the largest decides
+    size_of = np.abs(loadings)
+    peak = loadings[(size_of >= size_of.max(0) - 1e-9).argmax(0), np.arange(loadings.shape[1])]
     return Components(model, [1.0 if p >= 0 else -1.0 for p in peak], source)
 
 

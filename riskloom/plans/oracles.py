@@ -117,6 +117,8 @@ def folds_sql() -> str:
     )
 
 
+# each sweep squares what is left beside the diagonal, once that is small
+JACOBI_SWEEPS = 8
 SEX_SQL = "coalesce(cast(lower(substr(status_sex_desc, 1, 1)) = 'm' as int), 0)"
 
 
@@ -157,6 +159,85 @@ def spectrum_sql() -> str:
     )
 
 
+def components_sql(body: str) -> str:
+    """``body`` over spectrum(component, ratio, cumulative), loadings(i, component, v),
+    scaled(key, part, i, z) and inputs.
+
+    The training correlations are turned by Jacobi rotations: 34 disjoint pairs at a time for
+    68 inputs, paired as in a round-robin tournament, so that each pair meets once a sweep.
+    """
+    filled = filled_inputs()
+    values = ", ".join(f"{sql} as {c}" for c, sql in filled.items())
+    names = ", ".join(f"({text(c)}, {n})" for n, c in enumerate(filled))
+    even = len(filled) + len(filled) % 2
+    rounds = even - 1
+    last = rounds * JACOBI_SWEEPS
+    partner = f"(r - i + {rounds}) % {rounds}"
+    return f"with recursive {APPS}, {VIEW}, {SPLIT}, " + ", ".join([
+        f"inputs as (select {KEY}, risk, \"Target\", part, {values} from split)",
+        f"long as (unpivot (select * exclude (risk, \"Target\") from inputs) on {', '.join(filled)} into name feature value x)",
+        f"names(feature, i) as (values {names})",
+        "stats as (select feature, avg(x) as mean, stddev_pop(x) as sd from long where part = 'train' group by feature having max(x) > min(x))",
+        f"scaled as (select {KEY}, part, i, (x - mean) / sd as z from long join stats using (feature) join names using (feature))",
+        f"pairs as (select a.i, b.i as j, avg(a.z * b.z) as r from scaled a join scaled b using ({KEY}) where a.part = 'train' group by all)",
+        f"turns as (select r, i, case when i = {rounds} then case when r % 2 = 0 then r // 2 else (r + {rounds}) // 2 end"
+        f" when {partner} = i then {rounds} else {partner} end as p from range({rounds}) t(r), range({even}) u(i))",
+        # a: the matrix so far; v: the product of the rotations
+        "jacobi as (select 0 as step, i, j, r as a, cast(cast(i = j as int) as double) as v from pairs union all select * from ("
+        f"with now as (select max(step) as step from jacobi),"
+        " angles as (select t.i, t.p, case when o.a <> 0 then (q.a - d.a) / (2 * o.a) end as tau from turns t"
+        f" join now on t.r = now.step % {rounds} left join jacobi d on d.i = t.i and d.j = t.i"
+        " left join jacobi o on o.i = t.i and o.j = t.p left join jacobi q on q.i = t.p and q.j = t.p where t.i < t.p),"
+        " tans as (select i, p, case when tau is null then 0.0 when tau >= 0 then 1 / (tau + sqrt(1 + tau * tau))"
+        " else 1 / (tau - sqrt(1 + tau * tau)) end as t from angles),"
+        " turned as (select i, p, 1 / sqrt(1 + t * t) as c, -t / sqrt(1 + t * t) as e from tans"
+        " union all select p, i, 1 / sqrt(1 + t * t), t / sqrt(1 + t * t) from tans)"
+        " select s.step + 1, s.i, s.j, x.c * y.c * s.a + coalesce(x.c * y.e * sj.a, 0) + coalesce(x.e * y.c * si.a, 0)"
+        " + coalesce(x.e * y.e * sij.a, 0), y.c * s.v + coalesce(y.e * sj.v, 0)"
+        " from jacobi s join turned x on x.i = s.i join turned y on y.i = s.j"
+        " left join jacobi sj on sj.i = s.i and sj.j = y.p left join jacobi si on si.i = x.p and si.j = s.j"
+        f" left join jacobi sij on sij.i = x.p and sij.j = y.p where s.step < {last}))",
+        f"done as (select i, j, a, v from jacobi where step = {last})",
+        "ranked as (select j, a, row_number() over (order by a desc, j) as component from done where i = j)",
+        # inputs that never vary have no row above, and explain nothing
+        f"spectrum as (select cast(component as int) as component, ratio, sum(ratio) over (order by component) as cumulative"
+        f" from (select n as component, coalesce(a / sum(a) over (), 0) as ratio from range(1, {len(filled) + 1}) t(n)"
+        " left join ranked on component = n))",
+        "peaks as (select j, min(i) as i from (select j, i, abs(v) >= max(abs(v)) over (partition by j) - 1e-9 as high from done) where high group by j)",
+        "signs as (select d.j, case when d.v >= 0 then 1 else -1 end as sign from done d join peaks using (i, j))",
+        "loadings as (select d.i, component, v * sign as v from done d join ranked using (j) join signs using (j))",
+    ]) + f" {body}"
+
+
+def kept_sql() -> str:
+    return f"(select coalesce(min(component) filter (where cumulative >= {PARAMS.variance_kept}), max(component)) from spectrum)"
+
+
+def pca_2d_sql() -> str:
+    first, second = (f"sum(z * v) filter (where component = {c})" for c in (1, 2))
+    return components_sql(
+        f"select {KEY}, {dec(first)} as pc1, {dec(second)} as pc2, case when any_value(\"Target\") = 1 then 'Good' else 'Bad' end as risk"
+        f" from scaled join loadings using (i) join inputs using ({KEY}) where scaled.part = 'train' and component <= 2 group by {KEY}"
+    )
+
+
+def pca_loadings_sql() -> str:
+    """An input that never varies loads on nothing."""
+    return components_sql(
+        f"select feature as input, cast(n as int) as component, {dec('coalesce(v, 0)', 4)} as loading"
+        f" from names cross join range(1, {kept_sql()} + 1) t(n) left join loadings l on l.i = names.i and l.component = n"
+    )
+
+
+def pca_moments_sql() -> str:
+    return components_sql(
+        f"select part, component, count(*) as n, {dec('avg(value)')} as mean, {dec('avg(value * value)')} as square,"
+        f" {dec('avg(abs(value))')} as size from (select {KEY}, part, component, sum(z * v) as value from scaled join"
+        f" (select i, cast(component as int) as component, v from loadings where component <= {kept_sql()}) using (i)"
+        f" group by {KEY}, part, component) group by part, component"
+    )
+
+
 _TRAIN = "filter (where part = 'train') over ()"
 
 # --- statistics -----------------------------------------------------------------------
@@ -318,8 +399,8 @@ def smote_sql(few: str, columns: dict[str, str]) -> str:
         few,
         "sizes as (select count(*) filter (where \"Target\" = 0) as small,"
         " count(*) filter (where \"Target\" = 1) as big from split where part = 'train')",
-        "near as (select id, other, place from (select p.id, q.id as other, row_number() over (partition by p.id"
-        f" order by {square}, q.id) as place from few p join few q on p.id <> q.id) where place <= {k})",
+        f"listed as (select p.id, min({{'dist': {square}, 'other': q.id}}, {k}) as l from few p join few q on p.id <> q.id group by p.id),"
+        " near as (select id, unnest(l).other as other, unnest(range(1, len(l) + 1)) as place from listed)",
         f"ranked as (select *, row_number() over (order by md5(concat('{PARAMS.seed}:base:', id))) as rn from few)",
         "quota as (select r.*, (big - small) // small + cast(rn <= (big - small) % small as int) as copies"
         " from ranked r, sizes)",
@@ -479,6 +560,13 @@ def sql_texts() -> dict[str, str]:
         "smote": smote_amounts_sql(),
         "smote_inputs": smote_inputs_sql(),
         "pca_spectrum": spectrum_sql(),
+        "pca_full": components_sql(f"select component, {dec('ratio')} as ratio from spectrum"),
+        "cum_variance": components_sql(
+            f"select component, {dec('ratio')} as ratio, {dec('cumulative')} as cumulative from spectrum"),
+        "n_components_95": components_sql(f"select {kept_sql()} as n_components"),
+        "pca_2d": pca_2d_sql(),
+        "pca_loadings": pca_loadings_sql(),
+        "pca_moments": pca_moments_sql(),
         "logreg_checked": on_view(
             "select $$LogisticRegression$$ as model, count(*) as n, count(*) as n_keys, cast(sum(\"Target\") as bigint) as n_good,"
             " count(*) as n_probabilities, count(*) as n_classes from split where part = 'test'", SPLIT),

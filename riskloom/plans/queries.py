@@ -362,12 +362,32 @@ def pca_k(spark, sf_dir):
     return train.unionByName(_pcs(ready.test).withColumn("part", F.lit("test")))
 
 
+def pca_loadings(spark, sf_dir):
+    """What each input adds to each kept component: the fitted matrix, which has no rows of data.
+
+    Four places, as rounding errors grow between components of nearly one variance.
+    """
+    ready = _prepared(spark, sf_dir)
+    matrix = ready.components.loadings[:, : ready.kept]
+    rows = [(name, c + 1, float(v)) for name, row in zip(ready.inputs, matrix) for c, v in enumerate(row)]
+    return digits(spark.createDataFrame(rows, "input string, component int, loading double"), 4)
+
+
+def pca_moments(spark, sf_dir):
+    """Each kept component over the training rows and over the test rows."""
+    rows = pca_k(spark, sf_dir).select("part", F.posexplode("pca").alias("at", "value"))
+    value = F.col("value")
+    return digits(rows.groupBy("part", (F.col("at") + 1).alias("component")).agg(
+        F.count("*").alias("n"), F.avg(value).alias("mean"), F.avg(value * value).alias("square"), F.avg(F.abs(value)).alias("size"),
+    ))
+
+
 def pca_2d(spark, sf_dir):
     rows = _pcs(_prepared(spark, sf_dir).train, 2)
-    return rows.select(
+    return digits(rows.select(
         cat.KEY, F.col("pca")[0].alias("pc1"), F.col("pca")[1].alias("pc2"),
         F.when(F.col("Target") == 1, "Good").otherwise("Bad").alias("risk"),
-    )
+    ))
 
 
 def _points(spark, sf_dir, vectors: str = "pca") -> DataFrame:
@@ -560,7 +580,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stratified_split, stratified_folds,
     )}
     found |= {f.__name__: f for f in (
-        standardize, minmax_scale, pca_full, pca_spectrum, pca_k, pca_2d, undersample_centroids,
+        standardize, minmax_scale, pca_full, pca_spectrum, pca_k, pca_loadings, pca_moments, pca_2d, undersample_centroids,
         smote, smote_inputs, smote_components, kmeans_smote, kmeans_smote_balanced,
     )}
     found |= {name: partial(classify, name) for name in _SEARCHES}
