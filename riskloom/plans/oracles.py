@@ -442,6 +442,44 @@ RESAMPLED = on_view(
     "counts as (select \"Target\", count(*) as n from split where part = 'train' group by \"Target\")",
 )
 
+
+
+def newton_sql(steps: int = 30) -> str:
+    """Newton steps of a logistic loss with two inputs; each solves three equations by Cramer's rule."""
+    costs = ", ".join(f"({float(c)!r})" for c in cat.GRID_LOGREG["C"])
+    scaled = ", ".join(
+        f"({c} - min({c}) over ()) / cast(max({c}) over () - min({c}) over () as double) as {n}"
+        for c, n in ((cat.AMOUNT, "a"), (cat.DURATION, "d"))
+    )
+    curved = {f"{s}{t}": f"sum(p * (1 - p) * {s} * {t})" for s, t in ("aa", "ad", "dd")} | {
+        "a1": "sum(p * (1 - p) * a)", "d1": "sum(p * (1 - p) * d)", "n1": "sum(p * (1 - p))",
+        "ga": "sum((p - y) * a)", "gd": "sum((p - y) * d)", "g1": "sum(p - y)",
+    }
+    sums = ", ".join(f"cost * {sql} as {n}" for n, sql in curved.items())
+
+    def det(*m: str) -> str:
+        a, b, c, d, e, f, g, h, i = m
+        return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+    rows = [["(aa + 1)", "ad", "a1"], ["ad", "(dd + 1)", "d1"], ["a1", "d1", "n1"]]
+    right = ["(ga + wa)", "(gd + wd)", "g1"]
+    whole = det(*[v for row in rows for v in row])
+    step = [
+        det(*[right[r] if c == at else v for r, row in enumerate(rows) for c, v in enumerate(row)]) + f" / {whole}"
+        for at in range(3)
+    ]
+    return f"with recursive {APPS}, {VIEW}, {SPLIT}, " + ", ".join([
+        f"points as (select {scaled}, cast(\"Target\" as double) as y from split where part = 'train')",
+        f"costs(cost) as (select cast(c as double) from (values {costs}) t(c))",
+        "newton as (select 0 as step, cost, cast(0 as double) as wa, cast(0 as double) as wd, cast(0 as double) as w1 from costs"
+        f" union all select step + 1, cost, wa - {step[0]}, wd - {step[1]}, w1 - {step[2]} from"
+        f" (select step, cost, wa, wd, w1, {sums} from (select *, 1 / (1 + exp(-(wa * a + wd * d + w1))) as p from newton, points"
+        f" where step < {steps}) group by step, cost, wa, wd, w1))",
+    ]) + (
+        f" select cost, {dec('wa')} as amount, {dec('wd')} as duration, {dec('w1')} as intercept from newton where step = {steps}"
+    )
+
+
 # --- scores ---------------------------------------------------------------------------
 
 SCORED = (
@@ -567,6 +605,7 @@ def sql_texts() -> dict[str, str]:
         "pca_2d": pca_2d_sql(),
         "pca_loadings": pca_loadings_sql(),
         "pca_moments": pca_moments_sql(),
+        "logreg_weights": newton_sql(),
         "logreg_checked": on_view(
             "select $$LogisticRegression$$ as model, count(*) as n, count(*) as n_keys, cast(sum(\"Target\") as bigint) as n_good,"
             " count(*) as n_probabilities, count(*) as n_classes from split where part = 'test'", SPLIT),

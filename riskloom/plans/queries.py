@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from riskloom import catalog as cat
 from riskloom.functions import codes
 from riskloom.functions.codes import q
-from riskloom.operators import eda, evaluate, features, models, prepare, resample
+from riskloom.operators import eda, evaluate, features, linear, models, prepare, resample
 from riskloom.params import Params
 from riskloom.session import scratch_path, settle, tune
 from riskloom.sources import readers, writers
@@ -499,6 +499,19 @@ def logreg_checked(spark, sf_dir):
     )
 
 
+def logreg_weights(spark, sf_dir):
+    """Of the logistic model on amount and duration alone, at every cost: SQL solves the same steps."""
+    columns = [cat.AMOUNT, cat.DURATION]
+    train = _split(spark, sf_dir, *columns).where("part = 'train'")
+    train = train.select("Target", *[q(c).cast("double").alias(c) for c in columns])
+    scaled = prepare.fit_minmax(train, columns).transform(train)
+    rows = scaled.select(F.array(*[q(c) for c in columns]).alias("x"), F.col("Target").cast("double").alias("y"), F.lit(0).alias("fold"))
+    costs = [float(c) for c in cat.GRID_LOGREG["C"]]
+    fitted = linear.fit_states(settle(rows, "y"), "logreg", costs, [models.ALL], len(columns))
+    found = [(c, *map(float, fitted.of(models.ALL, c))) for c in costs]
+    return digits(spark.createDataFrame(found, "cost double, amount double, duration double, intercept double"))
+
+
 def confusion_matrix_fitted(spark, sf_dir):
     """Of each family's best model on the test rows."""
     return evaluate.confusion_matrix(predict(spark, sf_dir), ["model"])
@@ -585,7 +598,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )}
     found |= {name: partial(classify, name) for name in _SEARCHES}
     found |= {f.__name__: f for f in (
-        grid_search_cv, predict, confusion_matrix_fitted, pr_curve_fitted, logreg_checked, metrics_prf, pr_curve, pr_auc, confusion_matrix,
+        grid_search_cv, predict, confusion_matrix_fitted, pr_curve_fitted, logreg_checked, logreg_weights, metrics_prf, pr_curve, pr_auc, confusion_matrix,
         model_compare, rf_importances, sink_importances, sink_model_summary,
     )}
     found["sort_importances"] = rf_importances
