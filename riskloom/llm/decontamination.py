@@ -1,9 +1,9 @@
 """Benchmark decontamination by greedy string tiling.
 
 Seeds, runs of ``least`` words that a document shares with a benchmark item, are found by one
-hash lookup per word. For each document and item that share one, running Karp-Rabin greedy
-tiling marks the longest common runs that don't overlap, again and again; what the tiles cover
-of the item is its coverage, whatever their order in the document.
+hash lookup per word. For each document and item whose shared seeds could cover enough of the
+item, running Karp-Rabin greedy tiling marks the longest common runs that don't overlap, again
+and again; what the tiles cover of the item is its coverage, whatever their order in the document.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Words, chunks, ready, rolling, runs
+from riskloom.llm.common import Words, chunks, ready, rolling
 
 LEAST = 5
 COVERAGE = 0.8
 BLOCK_WORDS = 1_000_000
+POSTINGS = 1 << 20  # seeds of items that a task holds at once beside a text's
 #: Words are lower-cased runs of anything but white space and ASCII punctuation.
 BLANK = bytes(32 if chr(i) in string.punctuation else i for i in range(128)) + bytes(range(128, 256))
 
@@ -85,6 +86,16 @@ def tiles(pattern: list[int], text: list[int], least: int) -> list[tuple[int, in
         size = max(least, size // 2)
 
 
+def _slices(of: np.ndarray, many: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts with about ``POSTINGS`` postings; one text has at most an item block's."""
+    total, i = np.cumsum(many), 0
+    while i < len(of):
+        j = int(np.searchsorted(total, total[i] - many[i] + POSTINGS, side="right"))
+        j = max(int(np.searchsorted(of, of[min(j, len(of) - 1)])) if j < len(of) else j, int(np.searchsorted(of, of[i], side="right")))
+        yield i, j
+        i = j
+
+
 class Items:
     """Benchmark items with their seeds by hash."""
 
@@ -99,29 +110,45 @@ class Items:
             if w:
                 by.setdefault(min(least, len(w)), []).append(i)
         for size, items in by.items():  # an item of fewer words is one seed
-            found = [np.unique(rolling(values[scanned.first[i] : scanned.first[i + 1]], size)) for i in items]
-            item, key = np.repeat(items, [len(f) for f in found]), np.concatenate(found)
+            found = [rolling(values[scanned.first[i] : scanned.first[i + 1]], size) for i in items]
+            key, item = np.concatenate(found), np.repeat(items, [len(f) for f in found])
+            place = np.concatenate([np.arange(len(f)) for f in found])
             order = np.argsort(key, kind="stable")
-            self.seeds[size] = key[order], item[order]
+            self.seeds[size] = key[order], item[order], place[order]
 
-    def covered(self, words: Words, values: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, covered words, tiles) of texts that share a seed with an item."""
-        for size, (key, item) in self.seeds.items():
+    def covered(self, words: Words, values: np.ndarray, coverage: float) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, covered words, tiles) of texts whose tiles may cover enough of an item.
+
+        Tiles are made of shared seeds, so the item's words under seeds that the text has bound
+        their cover; only where this reaches ``coverage`` is there any tiling. For the bound a
+        seed counts once a text, however often the text repeats it.
+        """
+        lengths = np.asarray([len(w) for w in self.words])
+        for size, (key, item, place) in self.seeds.items():
             run = rolling(values, size)
             text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))[: len(run)]
             a = np.searchsorted(key, run)
             hit = np.flatnonzero((a < len(key)) & (key[np.minimum(a, len(key) - 1)] == run) & (np.arange(len(run)) + size <= words.first[text + 1]))
-            if not len(hit):
-                continue
-            many = np.searchsorted(key, run[hit], side="right") - a[hit]
-            at = np.repeat(hit, many)
-            which = item[np.repeat(a[hit], many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)]
-            order = np.lexsort((at, which, text[at]))
-            at, which = at[order], which[order]
-            for i, j in zip(*runs(text[at], which)):
-                n, count = self._tile(words, at[i:j], int(which[i]), size)
-                if n:
-                    yield int(text[at[i]]), int(which[i]), n, count
+            owner, first = text[hit], a[hit]
+            of, seed = np.divmod(np.unique(owner.astype(np.int64) * len(key) + first), len(key))
+            many = np.searchsorted(key, key[seed], side="right") - seed
+            for i, j in _slices(of, many):
+                n = many[i:j]
+                at, which = np.repeat(of[i:j], n), np.repeat(seed[i:j], n)
+                posting = which + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                order = np.lexsort((place[posting], item[posting], at))
+                at, which, posting = at[order], which[order], posting[order]
+                last = np.r_[(at[1:] != at[:-1]) | (item[posting[1:]] != item[posting[:-1]]), True]
+                words_under = np.where(last, size, np.minimum(size, np.diff(place[posting], append=0)))
+                start = np.flatnonzero(np.r_[True, last[:-1]])
+                bound = np.add.reduceat(words_under, start)
+                end = np.r_[start[1:], len(at)]
+                for k in np.flatnonzero(bound >= coverage * lengths[item[posting[start]]]):
+                    t, it = int(at[start[k]]), int(item[posting[start[k]]])
+                    lo, hi = np.searchsorted(owner, [t, t + 1])
+                    covered, count = self._tile(words, hit[lo:hi][np.isin(first[lo:hi], which[start[k] : end[k]])], it, size)
+                    if covered:
+                        yield t, it, covered, count
 
     def _tile(self, words: Words, at: np.ndarray, item: int, size: int) -> tuple[int, int]:
         """Tiling within the runs of seeds: every common run of ``size`` words is made of them."""
@@ -142,7 +169,7 @@ def _matches(batches: Iterator[pa.RecordBatch], items: Items, coverage: float) -
         ids = chunk.column("doc_id").to_pylist()
         rows = [
             (ids[d], items.ids[i], n / len(items.words[i]), n, len(items.words[i]), tiles)
-            for d, i, n, tiles in items.covered(words, words.hashes()) if n >= coverage * len(items.words[i])
+            for d, i, n, tiles in items.covered(words, words.hashes(), coverage) if n >= coverage * len(items.words[i])
         ]
         if rows:
             types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
@@ -153,7 +180,7 @@ def _clean(batches: Iterator[pa.RecordBatch], items: Items, coverage: float) ->
     for chunk in chunks(batches, "text"):
         words = Words([_plain(t) for t in chunk.column("text").to_pylist()])
         keep = np.ones(chunk.num_rows, dtype=bool)
-        for d, i, n, _ in items.covered(words, words.hashes()):
+        for d, i, n, _ in items.covered(words, words.hashes(), coverage):
             keep[d] &= n < coverage * len(items.words[i])
         yield chunk.filter(pa.array(keep))
 

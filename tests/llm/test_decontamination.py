@@ -4,6 +4,7 @@ import pytest
 
 from llm.helpers import rows
 from riskloom.llm import decontamination as dc
+from riskloom.llm.common import Words
 
 
 def greedy(p, t, least):
@@ -102,3 +103,26 @@ def test_blocks_of_the_benchmark_give_the_same(documents, benchmark):
     expected = brute(docs, items)
     assert rows(dc.find_leaks(documents(*docs), benchmark(*items))) == expected
     assert rows(dc.find_leaks(documents(*docs), benchmark(*items), block_words=50)) == expected
+
+
+def test_a_phrase_of_many_items_costs_no_tiling(spark, documents, monkeypatch):
+    phrase = "one phrase that every item has"
+    items = [(i, " ".join([*(f"w{i}x{n}" for n in range(10)), phrase, *(f"v{i}x{n}" for n in range(10))])) for i in range(3_000)]
+    tried = []
+    monkeypatch.setattr(dc, "tiles", lambda *a, real=dc.tiles: tried.append(1) or real(*a))
+    known = dc.Items(items, 5)
+    texts = [dc._plain(t) for t in [f"{phrase} filler " * 800, f"a {items[7][1]} b {phrase}"]]
+    scanned = Words(texts)
+    assert list(known.covered(scanned, scanned.hashes(), 0.8)) == [(1, 7, 26, 1)] and len(tried) == 1
+
+
+def test_slices_of_postings_change_nothing(spark, documents, monkeypatch):
+    draw = random.Random(5)
+    items = [(i, " ".join(draw.choice("abcd") for _ in range(12))) for i in range(60)]
+    texts = [" ".join(draw.choice("abcd") for _ in range(draw.randrange(0, 200))) for _ in range(40)]
+    known, scanned = dc.Items(items, 5), Words([t.encode() for t in texts])
+    whole = sorted(known.covered(scanned, scanned.hashes(), 0.5))
+    monkeypatch.setattr(dc, "POSTINGS", 7)
+    assert whole and sorted(known.covered(scanned, scanned.hashes(), 0.5)) == whole
+    every = {(t, i): n for t, i, n, _ in known.covered(scanned, scanned.hashes(), 0.0)}
+    assert {(t, i) for t, i, n, _ in whole if n >= 6} == {p for p, n in every.items() if n >= 6}
