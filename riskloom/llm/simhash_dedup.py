@@ -22,6 +22,8 @@ from riskloom.llm.components import local_components, stars
 
 SHINGLE = 3
 BITS = 3
+HOT = 4_096  # a fingerprint of more than one row in so many is hot
+SALTS = 64  # tasks that share the rows of a hot one
 SEED = 42
 SMALL_GROUP = 1024
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -192,16 +194,28 @@ def components(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
     """
     ready(documents.sparkSession)
     prints = settle(fingerprints(documents, shingle), "fingerprints")
-    distinct = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    distinct = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct-fingerprints")
     star = stars(near_links(distinct, bits))
     members = star.select(F.col("u").alias("fp"), F.col("v").alias("root")).unionByName(star.select(F.col("v").alias("fp"), F.col("v").alias("root")).distinct())
     least = members.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("component"))
     named = members.join(least, "root").select("fp", "root", "component")
     alone = F.col("root").isNull()
     label = distinct.join(named, "fp", "left").select(
-        "fp", F.when(alone, F.col("least")).otherwise(F.col("component")).alias("component_id"), F.coalesce("root", "fp").alias("root")
+        "fp", "n", F.when(alone, F.col("least")).otherwise(F.col("component")).alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
-    return prints.join(label, "fp").select("doc_id", "h", "fp", "component_id", "root")
+    return _labelled(prints, label).select("doc_id", "h", "fp", "component_id", "root")
+
+
+def _labelled(prints: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows with what ``label`` says of their fingerprint; those of a hot one go to ``SALTS`` tasks.
+
+    Hot is a fingerprint with more than one row in ``HOT``, so there are fewer than that.
+    """
+    hot = F.col("n") * F.lit(HOT) > F.lit(prints.count())
+    spread = label.withColumn("salt", F.explode(F.sequence(F.lit(0), F.when(hot, SALTS - 1).otherwise(0))))
+    some = F.broadcast(label.where(hot).select("fp", F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "h"), F.lit(SALTS)).cast("int")).otherwise(0)
+    return prints.join(some, "fp", "left").withColumn("salt", salt).join(spread, ["fp", "salt"])
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:

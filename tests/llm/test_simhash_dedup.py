@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from llm.helpers import rows, words
 from riskloom.llm import simhash_dedup as sh
@@ -99,3 +100,14 @@ def test_other_bit_distances(spark):
 def test_stars_of_a_long_path(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "u long, v long")
     assert sorted(map(tuple, stars(path).collect())) == [*((i, 0) for i in range(1, 61)), (101, 100)]
+
+
+def test_a_hot_fingerprint_meets_its_label_in_many_tasks(spark, documents):
+    docs = documents(*[(i, "" if i % 3 else f"text number {i} of its own") for i in range(300)], (None, ""), (7, ""))
+    prints = sh.fingerprints(docs, 3)
+    label = prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("component_id"))
+    got = sh._labelled(prints, label)
+    assert sorted(map(str, got.select(*prints.columns).collect())) == sorted(map(str, prints.collect()))
+    assert got.where("n > 100").select("salt").distinct().count() > 32
+    one = {r.fp: r.component_id for r in label.collect()}
+    assert all(r.component_id == one[r.fp] for r in got.collect())
