@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -248,14 +249,23 @@ def box_outliers(df: DataFrame, features: Sequence[str] = STUDIED, key: str = ca
     )
 
 
+DENSITY_TERMS = 20  # of the Taylor series within a cell
+DENSITY_REACH = 39.0  # bandwidths beyond which exp(-z * z / 2) is zero in double precision
+
+
 def kde_by_class(
     df: DataFrame, features: Sequence[str] = STUDIED, points: int = 200, cut: float = 3.0
 ) -> DataFrame:
     """(feature, risk, point, x, density): Gaussian density of each class on its own grid.
 
     Bandwidth is n^(-1/5) times the sample deviation, and the grid runs ``cut`` bandwidths
-    past the data. Equal values are counted first, so each distinct value is spread over
-    the grid once; the result is exact, with no binning.
+    past the data. The data are cut into cells one bandwidth wide, and each cell keeps the
+    moments of its values about its middle: ``exp(-(u - t)^2 / 2)`` is ``exp(-u^2 / 2)`` times
+    the sum of ``He_k(u) t^k / k!``. With 20 terms and ``|t| <= 1/2`` the rest is below 1e-15
+    for each value (Cramer's bound: ``|He_k(u)| exp(-u^2 / 4) <= 1.09 sqrt(k!)``). Rows are
+    added up in their tasks, so what moves and what meets the grid are cells, not values.
+
+    Nulls are left out. A class of one value, or of equal values, has no bandwidth and no rows.
     """
     rows = long_form(by_risk(df, features), features, ["risk"])
     stats = (
@@ -269,21 +279,42 @@ def kde_by_class(
     )
     start = F.col("low") - F.lit(cut) * F.col("h")
     step = (F.col("high") - F.col("low") + F.lit(2 * cut) * F.col("h")) / F.lit(points - 1.0)
-    grid = stats.select("feature", "risk", "size", "h", start.alias("start"), step.alias("step"))
-    counts = value_counts(rows, ["feature", "risk"], "value")
-    spread = (
-        # the two classes of each feature are broadcast
-        counts.join(F.broadcast(grid), ["feature", "risk"])
+    # two rows per feature are broadcast
+    grid = F.broadcast(stats.select("feature", "risk", "size", "h", "low", start.alias("start"), step.alias("step")))
+
+    away = (F.col("value") - F.col("low")) / F.col("h")
+    t = F.col("away") - F.col("cell") - F.lit(0.5)
+    moments = [F.sum(F.pow(t, F.lit(float(k)))) / F.lit(float(math.factorial(k))) for k in range(DENSITY_TERMS)]
+    cells = (
+        rows.join(grid, ["feature", "risk"])
+        .select("feature", "risk", away.alias("away"), F.floor(away).alias("cell"))
+        .groupBy("feature", "risk", "cell").agg(F.array(*moments).alias("moments"))
+    )
+    x = F.col("start") + F.col("point") * F.col("step")
+    u = (F.col("x") - F.col("low")) / F.col("h") - F.col("cell") - F.lit(0.5)
+    met = (
+        cells.join(grid, ["feature", "risk"])
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", F.col("start") + F.col("point") * F.col("step"))
+        .withColumn("x", x).withColumn("u", u)
+    )
+    # sums He_k(u) times the k-th moment, with He_(k+1) = u He_k - k He_(k-1)
+    series = F.aggregate(
+        "moments",
+        F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("before"), F.lit(1.0).alias("now"), F.lit(0.0).alias("k")),
+        lambda s, m: F.struct(
+            (s["total"] + m * s["now"]).alias("total"), s["now"].alias("before"),
+            (F.col("u") * s["now"] - s["k"] * s["before"]).alias("now"), (s["k"] + 1.0).alias("k"),
+        ),
+        lambda s: s["total"],
     )
-    z = (F.col("x") - F.col("value")) / F.col("h")
-    kernel = F.sum(F.col("n") * F.exp(F.lit(-0.5) * z * z))
+    near = F.abs("u") <= DENSITY_REACH
+    mass = F.sum(F.when(near, F.exp(F.lit(-0.5) * F.col("u") * F.col("u")) * series).otherwise(0.0))
     scale = F.col("size") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi())
     return (
-        spread.groupBy("feature", "risk", "point", "x", "size", "h")
-        .agg(kernel.alias("mass"))
-        .select("feature", "risk", "point", "x", (F.col("mass") / scale).alias("density"))
+        met.groupBy("feature", "risk", "point", "x", "size", "h")
+        .agg(mass.alias("mass"))
+        # what is left of a series far from all values may be a negative zero
+        .select("feature", "risk", "point", "x", F.greatest(F.col("mass") / scale, F.lit(0.0)).alias("density"))
     )
 
 

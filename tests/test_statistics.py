@@ -97,6 +97,31 @@ def test_density_integrates_to_one(raw):
     assert len(rows) == 6 and all(abs(r["area"] - 1) < 0.005 for r in rows)
 
 
+def test_density_matches_brute_force(spark, applications):
+    rng = np.random.default_rng(3)
+    # a broad body, a far outlier and a mass of equal values
+    values = [*rng.integers(250, 9000, 300).tolist(), 40_000, *[1500] * 200]
+    rows = [{cat.LABEL: 1, "Credit_amount": v} for v in values] + [{cat.LABEL: 2, "Credit_amount": 7}] * 3
+    df = applications(*rows, {cat.LABEL: 1, "Credit_amount": None})
+    got = eda.kde_by_class(df, ["Credit_amount"]).orderBy("point").collect()
+    x = np.asarray(values, dtype=float)
+    h = x.std(ddof=1) * len(x) ** -0.2
+    at = np.linspace(x.min() - 3 * h, x.max() + 3 * h, 200)
+    full = np.exp(-0.5 * ((at[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert len(got) == 200 and len({r["risk"] for r in got}) == 1  # equal values have no bandwidth
+    assert np.allclose([r["x"] for r in got], at)
+    assert np.abs(np.asarray([r["density"] for r in got]) - full).max() < 1e-13 * full.max()
+
+
+def test_density_spreads_cells_not_values(spark, raw):
+    many = raw.sparkSession.range(0, 400_000, 1, 8).selectExpr("cast(id as int) as v", "cast(1 + id % 2 as int) as label")
+    df = many.selectExpr(f"label as `{cat.LABEL}`", "v as `Credit_amount`")
+    curve = eda.kde_by_class(df, ["Credit_amount"])
+    assert curve.count() == 400
+    text = curve._jdf.queryExecution().executedPlan().toString()
+    assert "cell" in text and "CartesianProduct" not in text
+
+
 def test_qq_runs_split_hot_values(spark, monkeypatch, raw):
     whole = eda.qq_points(raw).orderBy("feature", "place").collect()
     monkeypatch.setattr(eda, "QQ_CHUNK", 7)
