@@ -4,13 +4,15 @@ Consecutive windows that share a minimiser travel as one packed string to the mi
 bucket; there every window is sorted by a hash, equal hashes are compared byte by byte, and
 each window is told from its first occurrence.
 
-Three passes over the texts and one shuffle of packed strings:
-
-1. Count word triples by slot over the whole corpus. Triples in frequent slots rank last as
-   minimisers, so a line found in a third of all documents doesn't gather its windows.
-2. Cut each text into super-k-mers. Equal ones inside a task are decided there: all but the
-   first are repeats throughout, so a mass of copies sends one string per task and no more.
-3. Buckets compare windows and return word ranges; ranges meet their documents by key.
+Three passes over the texts, a shuffle of packed strings and one of whole texts:
+
+1. Count word triples by slot, and words, over the whole corpus. Triples in frequent slots
+   rank last as minimisers, so a line found in a third of all documents doesn't gather its
+   windows. A window of nothing but such triples goes to a bucket by its own hash.
+2. Cut each text into super-k-mers. Equal ones inside a chunk of 8 MB are decided there: all
+   but the first are repeats throughout, so a mass of copies sends one string per chunk.
+3. Buckets, whose number follows from the counted words, compare windows and return word
+   ranges; ranges meet their documents by key.
 """
 
 from __future__ import annotations
@@ -24,27 +26,28 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Words, chunks, mix, pieces, ready, rolling, runs, sliding_min, text_key
+from riskloom.llm.common import Words, chunks, mix, pieces, ready, rolling, runs, settle, sliding_min, text_key
 
 WINDOW = 20
 SEED_WORDS = 3
 LONGEST_RUN = 256  # windows in one super-k-mer at most
-BUCKETS_PER_PIECE = 8
+BUCKETS_PER_PIECE = 8  # at least
+BUCKET_WORDS = 1 << 21  # words of the corpus per bucket at most, on average
 CHUNK_BYTES = 8 << 20  # larger blocks of strings pack better
 
 _PACKED = "bucket long, strings binary, places binary"
 _RANGES = "doc_id long, h long, a long, b long"
 
 
-def _triples(words: Words, size: int) -> np.ndarray:
-    return rolling(words.hashes(), size, base=0x9E3779B97F4A7C15 | 1)
+def _triples(hashes: np.ndarray, size: int) -> np.ndarray:
+    return rolling(hashes, size, base=0x9E3779B97F4A7C15 | 1)
 
 
 def _slot_counts(batches: Iterator[pa.RecordBatch], size: int, slots: int) -> Iterator[pa.RecordBatch]:
     total = np.zeros(slots, dtype=np.int64)
     for chunk in chunks(batches, "text"):
         words = Words(chunk.column("text").to_pylist())
-        grams = _triples(words, size)
+        grams = _triples(words.hashes(), size)
         # a triple across two texts counts too: it only shifts a slot's rank a little
         total += np.bincount((grams % np.uint64(slots)).astype(np.int64), minlength=slots)
     there = np.flatnonzero(total)
@@ -66,7 +69,8 @@ def _super_kmers(
         words = Words(chunk.column("text").to_pylist())
         if words.n < window:
             continue
-        grams = _triples(words, size)
+        hashes = words.hashes()
+        grams = _triples(hashes, size)
         rank = grams >> np.uint64(1)
         rank[hot[(grams % np.uint64(len(hot))).astype(np.int64)]] |= np.uint64(1 << 63)
         least = sliding_min(rank, window - size + 1)
@@ -76,6 +80,10 @@ def _super_kmers(
             continue
         least, text = least[fits], text[fits]
         block = (fits - words.first[text]) // LONGEST_RUN
+        common = np.flatnonzero(least >> np.uint64(63))
+        if len(common):  # no rare triple: each such window goes alone, by its own hash
+            least[common] = rolling(hashes, window)[fits[common]]
+            block[common] = -1 - common
         a, b = runs(least, text, block)
         first, last, text = fits[a], fits[b - 1] + window, text[a]
         start = first - words.first[text]
@@ -218,22 +226,24 @@ def repeated_ranges(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     size = min(SEED_WORDS, window)
     parts = pieces(spark)
     buckets = BUCKETS_PER_PIECE * parts
-    slots = 1 << max(16, (16 * buckets - 1).bit_length())
+    slots = 1 << max(16, (16 * buckets - 1).bit_length())  # follows the pieces of a shuffle alone
     texts = documents.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("h"), F.col("text").cast("binary").alias("text")
     )
-    counts = (
+    counts = settle(
         texts.select("text").mapInArrow(lambda it: _slot_counts(it, size, slots), "slot long, n long")
-        .groupBy("slot").agg(F.sum("n").alias("n"))
+        .groupBy("slot").agg(F.sum("n").alias("n")), "triples",
     )
+    total = counts.agg(F.sum("n")).first()[0] or 0
     # at most 4 * buckets slots can hold that share of all triples
-    total = counts.agg(F.sum("n").alias("total"))
-    often = counts.join(F.broadcast(total), F.col("n") * F.lit(4 * buckets) > F.col("total")).select("slot")
+    often = counts.where(F.col("n") * F.lit(4 * buckets) > F.lit(total)).select("slot").toArrow()
     hot = np.zeros(slots, dtype=bool)
-    hot[[r[0] for r in often.collect()]] = True
+    hot[np.asarray(often["slot"], dtype=np.int64)] = True
+    buckets = max(buckets, -(-total // BUCKET_WORDS))
     packed = texts.mapInArrow(lambda it: _super_kmers(it, window, size, hot, buckets), _PACKED)
     return (
-        packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
+        # by number, not by hash: each task gets as many buckets as any other
+        packed.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
         .mapInArrow(lambda it: _buckets(it, window), _RANGES)
     )
 
@@ -247,6 +257,7 @@ def dedup_substrings(documents: DataFrame, window: int = WINDOW, with_text: bool
     (kept words joined by one space).
 
     - A null text has no words; texts shorter than the window lose none.
+    - A text of any length is read whole, by one task; one of over 8 MB is cut up by itself.
     - A row without doc_id has no place in the order: it is returned whole and takes no part.
     - Rows repeated in full are one document, returned as often as they come. Rows of one
       doc_id with different texts are ordered by a hash of the text.

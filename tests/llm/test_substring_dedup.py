@@ -38,6 +38,16 @@ def test_random_texts_with_few_words(documents):
     assert rows(sd.dedup_substrings(documents(*docs), 4, with_text=False)) == brute(docs, 4)
 
 
+def test_windows_without_rare_words(documents, monkeypatch):
+    """Two words make every triple common; windows then go by their own hash to many buckets."""
+    monkeypatch.setattr(sd, "BUCKET_WORDS", 3)
+    random.seed(5)
+    docs = [(i, " ".join(random.choice("ab") for _ in range(random.randrange(200)))) for i in range(40)]
+    docs += [(100 + i, "a " * 90) for i in range(20)]
+    found = sd.repeated_ranges(documents(*docs), 6)
+    assert found.count() and rows(sd.dedup_substrings(documents(*docs), 6, with_text=False)) == brute(docs, 6)
+
+
 def test_a_phrase_in_most_documents(documents):
     random.seed(4)
     phrase = " ".join(f"p{i}" for i in range(30))
