@@ -19,6 +19,7 @@ from riskloom.llm.common import pieces, ready, settle
 
 BLOCK_ROWS = 32_768
 QUERY_BLOCK = 256
+GROUP_BYTES = 64 << 20  # digits of the queries that a task holds
 ALL = np.uint64(2**64 - 1)
 
 _INDEX = "dims int, n int, bits int, low long, ids binary, slices binary"
@@ -186,10 +187,14 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
 
 
 def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The bit-sliced index of all vectors, written to the shared folder, a row per block."""
+    """The bit-sliced index of all vectors, written to the shared folder, a row per block.
+
+    ``block`` numbers the blocks; those of vectors of several lengths may share a number.
+    """
     rows = quantised(vectors).select("vec_id", "key", "v")
     blocks = max(1, -(-rows.count() // block_rows))
-    return settle(rows.repartition(blocks).mapInArrow(lambda it: _index_blocks(it, block_rows), _INDEX), "bitsliced")
+    made = rows.repartition(blocks).mapInArrow(lambda it: _index_blocks(it, block_rows), _INDEX)
+    return settle(made.withColumn("block", F.spark_partition_id()), "bitsliced")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -197,19 +202,24 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     ``queries`` has the columns of ``quantised``. Query blocks meet index blocks in a grid of
     (slot, group) cells by an equi-join: index blocks are copied once for each group, query
-    blocks once for each slot, and a task holds one pair of blocks at a time.
+    blocks once for each slot. The groups follow the bytes of the queries, so that a task holds
+    about ``GROUP_BYTES`` of them, and one index block at a time; the slots make up a few cells
+    for each piece of a shuffle.
     """
-    slots = pieces(index.sparkSession)
-    groups = min(8, slots)
-    count = max(1, -(-queries.count() // QUERY_BLOCK))
+    asked = queries.dropDuplicates(["vec_id", "key"])
+    size = asked.agg(F.count("*").alias("n"), F.sum(8 * F.size("v")).alias("bytes")).first()
+    count = max(1, -(-size["n"] // QUERY_BLOCK))
+    groups = max(min(8, count), -(-(size["bytes"] or 0) // GROUP_BYTES))
+    blocks = (index.agg(F.max("block")).first()[0] or 0) + 1
+    slots = min(blocks, -(-4 * pieces(index.sparkSession) // groups))
     asked = (
-        queries.dropDuplicates(["vec_id", "key"]).repartition(count).mapInArrow(lambda it: _query_blocks(it, QUERY_BLOCK), _QUERIES)
-        .withColumn("grp", F.pmod(F.xxhash64("ids", "digits"), F.lit(groups)))
-        .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)).cast("array<bigint>")))
+        asked.repartition(count).mapInArrow(lambda it: _query_blocks(it, QUERY_BLOCK), _QUERIES)
+        .withColumn("grp", F.pmod(F.spark_partition_id(), F.lit(groups)))
+        .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
         .select("grp", "slot", "dims", F.col("ids").alias("query_ids"), F.col("keys").alias("query_keys"), "digits")
     )
-    blocks = index.withColumn("slot", F.pmod(F.xxhash64("ids", "slices"), F.lit(slots))).withColumn(
-        "grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>"))
+    blocks = index.withColumn("slot", F.pmod("block", F.lit(slots))).withColumn(
+        "grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     )
     hits = (
         blocks.join(asked.hint("shuffle_hash"), ["slot", "grp", "dims"])

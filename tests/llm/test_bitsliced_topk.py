@@ -40,6 +40,7 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     vectors = frame(spark, [(i, [random.uniform(-2, 2) for _ in range(5)]) for i in range(230)])
     expected = rows(bt.top_k(vectors))
     monkeypatch.setattr(bt, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(bt, "GROUP_BYTES", 100)
     queries = bt.quantised(vectors.where("vec_id % 50 = 0"))
     assert rows(bt.search(bt.build_index(vectors, block_rows=32), queries)) == expected
 
