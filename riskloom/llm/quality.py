@@ -1,8 +1,9 @@
 """Quality classifier by co-training a text view and a metadata view.
 
 Each view has a logistic model. In rounds, each labels the unlabelled documents it is surest
-of for the other to learn from; labelled rows held out then calibrate both, and a model over
-the two calibrated scores combines them. Models are fitted on bounded samples; all documents
+of for the other to learn from, as far down its ranking as labelled rows held out show it to
+be right; those rows then calibrate both, and a model over the two calibrated scores combines
+them. Models are fitted on bounded samples; all documents
 are scored in one scan.
 """
 
@@ -20,7 +21,8 @@ from riskloom.llm.common import Words, chunks, ready
 LABELLED = 6_000  # labelled documents that the fit may hold, about
 UNLABELLED = 6_000  # others that it may label itself, about
 ROUNDS = 3
-SURE = 0.97
+PRECISION = 0.9  # share of right labels, on rows held out, down to which a view teaches
+TAUGHT_WEIGHT = 0.05  # of a row labelled by the other view, against 1 of a labelled one
 PER_ROUND = 600  # documents that one view labels for the other in a round
 LEAST_OF_CLASS = 10
 KEEP_FROM = 0.5
@@ -31,7 +33,8 @@ WORD_BUCKETS = 256
 CHUNK_BYTES = 2 << 20
 WINDOW_BYTES = 1 << 18
 SHAPE = 4  # words said twice running, words, bytes a word, shortness
-META = 8 + 64 + 6
+STEPS = 32  # half octaves of a size
+META = 8 + 64 + 6 + 3 * STEPS
 
 _SCORES = "doc_id long, text_score double, metadata_score double, score double, keep boolean"
 
@@ -69,7 +72,10 @@ def text_features(texts: list[bytes | None]) -> np.ndarray:
 
 
 def meta_features(lang: list, source: list, n_chars: list, texts: list[bytes | None]) -> np.ndarray:
-    """What is known of a page without reading it: language, source, size and layout."""
+    """What is known of a page without reading its words: language, source, size and layout.
+
+    Sizes come as logarithms and by half octaves, so that a size in between can tell.
+    """
     import zlib
 
     out = np.zeros((len(lang), META), dtype=np.float32)
@@ -79,14 +85,17 @@ def meta_features(lang: list, source: list, n_chars: list, texts: list[bytes | N
     size = np.asarray([len(t or b"") for t in texts], dtype=np.float64)
     lines = np.asarray([(t or b"").count(b"\n") + 1 for t in texts], dtype=np.float64)
     chars = np.asarray([0 if x is None else max(0, x) for x in n_chars], dtype=np.float64)
-    out[:, 72:] = np.stack([np.log1p(chars), np.log1p(size), np.log1p(lines), np.log1p(size / lines), [x is None for x in n_chars], [t is None for t in texts]], axis=1)
+    logs = np.stack([np.log1p(chars), np.log1p(size), np.log1p(lines), np.log1p(size / lines)], axis=1)
+    out[:, 72:78] = np.c_[logs, [x is None for x in n_chars], [t is None for t in texts]]
+    for i, c in enumerate((0, 2, 3)):
+        out[rows, 78 + i * STEPS + np.minimum(2 * logs[:, c] / np.log(2), STEPS - 1).astype(int)] = 1
     return out
 
 
 class Logistic:
     """Ridge logistic regression by Newton steps, on standardised columns."""
 
-    def fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> Logistic:
+    def fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25, weight: np.ndarray | float = 1.0) -> Logistic:
         x = x.astype(np.float64)
         self.mean, self.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
         z = np.c_[(x - self.mean) / self.scale, np.ones(len(x))]
@@ -95,7 +104,7 @@ class Logistic:
         self.w = np.zeros(z.shape[1])
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(z @ self.w, -30, 30)))
-            step = np.linalg.solve((z.T * (p * (1 - p) + 1e-9)) @ z + np.diag(penalty), z.T @ (y - p) - penalty * self.w)
+            step = np.linalg.solve((z.T * (weight * p * (1 - p) + 1e-9)) @ z + np.diag(penalty), z.T @ (weight * (y - p)) - penalty * self.w)
             self.w += step * min(1.0, 4 / (np.abs(step).max() + 1e-12))
             if np.abs(step).max() < 1e-6:
                 break
@@ -109,6 +118,17 @@ def _chance(logit: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-logit))
 
 
+def precise_from(score: np.ndarray, right: np.ndarray) -> float:
+    """The lowest score from which upwards at least ``PRECISION`` of the rows are right.
+
+    Infinite where no score leaves ``LEAST_OF_CLASS`` rows above it that are.
+    """
+    order = np.argsort(-score, kind="stable")
+    n = np.arange(1, len(order) + 1)
+    good = np.flatnonzero((np.cumsum(right[order]) >= PRECISION * n) & (n >= LEAST_OF_CLASS))
+    return float(score[order[good[-1]]]) if len(good) else np.inf
+
+
 class CoTrained:
     """Both views, their calibration and their combination."""
 
@@ -122,17 +142,20 @@ class CoTrained:
         for c in (0, 1):  # a third of each class is held out for calibration
             held[np.flatnonzero(y == c)[::3]] = True
         views, pools = (text, meta), (pool_text, pool_meta)
+        self.taught: list[tuple[list[int], list[int]]] = [([], []), ([], [])]  # by view and class, a number a round
         said = [np.full(len(pool_text), -1) for _ in views]  # what each view's model learns of the pool
         self.models = [self._fit(v[~held], y[~held], p, s) for v, p, s in zip(views, pools, said)]
         self.calibrations = [Logistic().fit(m.logit(v[held])[:, None], y[held]) for m, v in zip(self.models, views)]
         for _ in range(rounds):
-            for i, (m, c) in enumerate(zip(self.models, self.calibrations)):
-                p = _chance(c.logit(m.logit(pools[i])[:, None]))
+            for i, (m, v) in enumerate(zip(self.models, views)):
+                known, free = m.logit(v[held]), m.logit(pools[i])
                 other = said[1 - i]
-                for label, sure in ((1, p), (0, 1 - p)):
+                for label, sign in ((1, 1), (0, -1)):
                     share = self.base if label else 1 - self.base
-                    free = np.flatnonzero((other < 0) & (sure >= SURE))
-                    other[free[np.argsort(-sure[free], kind="stable")[: max(1, int(PER_ROUND * share))]]] = label
+                    sure = np.flatnonzero((other < 0) & (sign * free >= precise_from(sign * known, y[held] == label)))
+                    best = sure[np.argsort(-sign * free[sure], kind="stable")]
+                    other[best[: max(1, int(PER_ROUND * share))]] = label
+                    self.taught[i][label].append(min(len(best), max(1, int(PER_ROUND * share))))
             self.models = [self._fit(v[~held], y[~held], p, s) for v, p, s in zip(views, pools, said)]
             self.calibrations = [Logistic().fit(m.logit(v[held])[:, None], y[held]) for m, v in zip(self.models, views)]
         self.learned = [int((s >= 0).sum()) for s in said]
@@ -140,7 +163,8 @@ class CoTrained:
 
     @staticmethod
     def _fit(x: np.ndarray, y: np.ndarray, pool: np.ndarray, said: np.ndarray) -> Logistic:
-        return Logistic().fit(np.concatenate([x, pool[said >= 0]]), np.concatenate([y, said[said >= 0]]), ridge=10.0)
+        weight = np.r_[np.ones(len(y)), np.full((said >= 0).sum(), TAUGHT_WEIGHT)]
+        return Logistic().fit(np.concatenate([x, pool[said >= 0]]), np.concatenate([y, said[said >= 0]]), ridge=10.0, weight=weight)
 
     def _views(self, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
         return np.stack([c.logit(m.logit(v)[:, None]) for c, m, v in zip(self.calibrations, self.models, (text, meta))], axis=1)

@@ -33,6 +33,32 @@ def test_views_teach_each_other():
     assert abs(both.mean() - new.mean()) < 0.05
 
 
+def test_both_views_teach_on_documents(spark):
+    """In each round both views label documents, at the measured precision; neither gets much worse by it."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    known = dict(labels.select("doc_id", "quality").toPandas().itertuples(index=False))
+    right = {}
+    for rounds in (0, quality.ROUNDS):
+        model = quality.train(docs, labels.where("doc_id % 4 > 0"), rounds=rounds)
+        got = quality.score_quality(docs.where("doc_id % 4 = 0"), model).toPandas()
+        got = got[got["doc_id"].isin(known)]
+        y = got["doc_id"].map(known) == 1
+        right[rounds] = [((got[c] >= 0.5) == y).mean() for c in ("text_score", "metadata_score", "score")]
+    for good, bad in ((model.taught[i][1], model.taught[i][0]) for i in (0, 1)):
+        assert len(good) == quality.ROUNDS and all(a + b > 0 for a, b in zip(good, bad))
+    before, after = right[0], right[quality.ROUNDS]
+    assert after[1] >= before[1] - 0.005 and after[2] >= before[2] - 0.005 and after[2] > 0.99, (before, after)
+
+
+def test_precision_is_that_of_the_rows_above():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        score, noise = rng.normal(size=200), rng.normal(size=200)
+        right = score + noise > 0
+        cuts = [c for c in score if (score >= c).sum() >= quality.LEAST_OF_CLASS and right[score >= c].mean() >= quality.PRECISION]
+        assert quality.precise_from(score, right) == (min(cuts) if cuts else np.inf)
+
+
 def test_filter_agrees_with_scores_and_keeps_columns(spark, documents):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = quality.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
