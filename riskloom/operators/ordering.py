@@ -2,7 +2,8 @@
 
 A window without a partition key sends every row to one task. Here rows are first cut
 into buckets that respect the order; each bucket is summed on its own, and the totals of
-the buckets before it, a small table, are added.
+the buckets before it are added. Those are summed the same way, by coarse buckets, so
+that only the totals of coarse buckets meet in one task.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +20,12 @@ from riskloom.functions.codes import q
 
 # an integer bucket of this width holds at most this many distinct values
 INTEGER_BUCKET = 1 << 16
-# distinct fractional values one bucket should hold
-FRACTION_BUCKET = 50_000
-FRACTION_BUCKETS = 4_096
+# buckets of fractions in each doubling of the value, and the doublings of doubles below 1
+FRACTION_STEPS = 1 << 16
+DOUBLINGS_BELOW_ONE = 1_075
+# buckets whose totals are summed together: doubles have 67,233 such groups at most, integers one
+# for each 2^28 values
+COARSE = 1 << 12
 # hex digits of a digest that each pass of a rank search adds, of the digits it has
 HASH_STEP_DIGITS = 3
 HASH_DIGITS = 32
@@ -38,7 +41,8 @@ def running_sums(
 
     Rows must be unique by (keys, order), and ``bucket`` must not decrease as ``order``
     grows. Rows shuffle once, by (keys, bucket). The totals have one row per bucket; they
-    join on the same keys, so the rows do not move again.
+    join on the same keys, so the rows do not move again. The totals themselves shuffle by
+    (keys, coarse bucket), and only coarse totals are summed by ``keys`` alone.
     """
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     within = (
@@ -46,18 +50,20 @@ def running_sums(
         .orderBy(direction(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(direction(bucket))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = df.groupBy(*keys, bucket).agg(
+    def earlier(by: Sequence[str], place: str):
+        return Window.partitionBy(*by).orderBy(direction(place)).rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(name: str, by: Sequence[str], place: str) -> Column:
+        return F.coalesce(F.sum(name).over(earlier(by, place)), F.lit(0))
+
+    totals = df.groupBy(*keys, bucket, F.floor(F.col(bucket) / F.lit(COARSE)).alias("__coarse")).agg(
         *[F.sum(source).alias(f"__{name}") for name, source in sums.items()]
     )
-    offsets = totals.select(
-        *keys,
-        bucket,
-        *[F.coalesce(F.sum(f"__{n}").over(earlier), F.lit(0)).alias(f"__{n}") for n in sums],
+    coarse = totals.groupBy(*keys, "__coarse").agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in sums])
+    coarse = coarse.select(*keys, "__coarse", *[before(f"__{n}", keys, "__coarse").alias(f"__{n}_coarse") for n in sums])
+    inside = totals.withColumns({f"__{n}": before(f"__{n}", [*keys, "__coarse"], bucket) for n in sums})
+    offsets = inside.join(coarse, [*keys, "__coarse"]).select(
+        *keys, bucket, *[(F.col(f"__{n}") + F.col(f"__{n}_coarse")).alias(f"__{n}") for n in sums],
     )
     local = df.withColumns({n: F.sum(source).over(within) for n, source in sums.items()})
     joined = local.join(offsets, [*keys, bucket])
@@ -72,24 +78,24 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, count: str = "n
 
 
 def with_bucket(df: DataFrame, value: str, bucket: str = "bucket") -> DataFrame:
-    """Cut a column of distinct values into ordered buckets of limited size.
+    """Cut a column of distinct values into ordered buckets, by the value alone.
 
     Integers are cut by width, which bounds the distinct values in a bucket. Fractions are
-    cut at approximate quantiles of the distinct values; that takes one aggregation whose
-    result is the cut points, ``FRACTION_BUCKETS`` at most. Beyond that buckets grow, and
-    the sort inside each spills.
+    cut by their logarithm, 65,536 buckets to a doubling on either side of zero: however
+    many rows there are, nothing is counted beforehand. A bucket spans a hundred-thousandth of
+    its value; one that holds more distinct values than fit in memory spills in its sort. Zero, infinities and NaN, the last of all, have buckets of their own.
     """
+    x = F.col(value)
     if isinstance(df.schema[value].dataType, T.IntegralType):
-        return df.withColumn(bucket, F.floor(F.col(value) / F.lit(INTEGER_BUCKET)))
-    distinct = df.select(value).count()
-    pieces = min(-(-distinct // FRACTION_BUCKET), FRACTION_BUCKETS)
-    if pieces <= 1:
-        return df.withColumn(bucket, F.lit(0).cast("bigint"))
-    shares = [i / pieces for i in range(1, pieces)]
-    cuts = df.agg(F.percentile_approx(value, shares, 10 * pieces)).first()[0]
-    splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol=value, outputCol=bucket).transform(df)
-    return cut.withColumn(bucket, F.col(bucket).cast("bigint"))
+        return df.withColumn(bucket, F.floor(x / F.lit(INTEGER_BUCKET)))
+    # 1 and more below the least double; log2 is monotonic, and so is what follows
+    size = F.least(F.log2(F.abs(x)) + F.lit(DOUBLINGS_BELOW_ONE + 1.0), F.lit(2_101.0))
+    step = F.floor(size * F.lit(float(FRACTION_STEPS)))
+    number = (
+        F.when(F.isnan(x), F.lit(2_102 * FRACTION_STEPS))
+        .when(x > 0, step).when(x < 0, -step).otherwise(F.lit(0))
+    )
+    return df.withColumn(bucket, number.cast("bigint"))
 
 
 @dataclass(frozen=True)

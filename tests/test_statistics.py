@@ -41,8 +41,7 @@ def test_running_sums(spark, values):
     assert got == {v: sum(w <= v for w in values) for v in values}
 
 
-def test_fraction_buckets_keep_order(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "FRACTION_BUCKET", 100)
+def test_fraction_buckets_keep_order(spark):
     df = spark.range(2000).select((F.col("id") / 7.0).alias("v"), F.lit(1).cast("bigint").alias("n"))
     cut = ordering.with_bucket(df, "v")
     assert cut.select("bucket").distinct().count() > 10
@@ -50,6 +49,31 @@ def test_fraction_buckets_keep_order(spark, monkeypatch):
     assert [r["upto"] for r in got] == list(range(1, 2001))
 
 
+@SLOW
+@given(st.lists(st.one_of(st.floats(allow_nan=False), st.floats(0.999999, 1.0)), min_size=1, max_size=60), st.booleans())
+def test_running_sums_of_any_doubles(spark, values, descending):
+    values = sorted({v + 0.0 for v in values} | {0.0, 5e-324, -5e-324, float("inf"), -float("inf"), 1.0, 1.0 - 2**-53})
+    df = spark.createDataFrame([(v, i + 1) for i, v in enumerate(values)], "v double, n bigint")
+    cut = ordering.with_bucket(df, "v")
+    assert [r["bucket"] for r in cut.orderBy("v").collect()] == sorted(r["bucket"] for r in cut.collect())
+    got = {r["v"]: r["upto"] for r in ordering.running_sums(cut, [], "bucket", "v", {"upto": "n"}, descending).collect()}
+    sign = -1 if descending else 1
+    assert got == {v: sum(i + 1 for i, w in enumerate(values) if sign * w <= sign * v) for v in values}
+
+
+def test_nan_comes_last(spark):
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (0.5,)], "v double")
+    assert [str(r["v"]) for r in ordering.with_bucket(df, "v").orderBy("bucket").collect()] == ["0.5", "inf", "nan"]
+
+
+def test_buckets_start_no_job(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    for action in ("count", "collect", "first", "toPandas"):
+        monkeypatch.setattr(DataFrame, action, lambda *a: pytest.fail("a job at build"))
+    ordering.with_bucket(spark.range(9).selectExpr("id / 7.0D as v"), "v")
+
+
 @pytest.mark.parametrize("ordered", [100_000, 3])
 def test_hash_cuts_are_exact(spark, monkeypatch, ordered):
     monkeypatch.setattr(ordering, "HASH_ORDERED_ROWS", ordered)
