@@ -204,6 +204,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, least: int = LEAST, c
 
     - Null and empty texts match nothing, and neither do items without a word. An item of
       fewer than ``least`` words must occur whole.
+    - A text of any length is matched whole, by one task.
     - A null doc_id or item_id is returned as such. Repeated documents each get their rows,
       repeated items count once. An empty table on either side gives an empty result.
     """

@@ -135,6 +135,7 @@ def scan_licences(files: DataFrame, templates: dict[str, str] | None = None, thr
     A licence file has matches in half or more of its lines that aren't blank.
 
     - Null and empty texts have no licence of their own, but inherit.
+    - A text of any length is split whole, in one row; its lines are scored one by one.
     - A null path has no directory: such a file neither inherits nor hands down.
     - Repeated rows are each returned. Files of one path with different texts are told apart.
     - An empty table gives an empty result.

@@ -227,6 +227,7 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, bits: int = BI
     ``bits`` apart are linked; component_id is the smallest doc_id reachable.
 
     - Null, empty and white texts have fingerprint zero and are linked like any other.
+    - All shingles of a text of any length count; one task reads it.
     - A row without doc_id links others and gets a component, but never names it; component_id
       is null where no row of a component has a doc_id.
     - Repeated rows and rows of one doc_id with different texts each get their own row.

@@ -104,6 +104,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = MIN
     the others revisit it. A null html is an empty payload, a null url leaves its header out.
     A row without page_id is a response unless its payload belongs to a page that has one;
     rows that repeat the response's page_id and payload are responses too.
+
+    A payload of any length is one record, held by one task. An empty table gives an empty index.
     """
     ready(pages.sparkSession)
     folder = folder or scratch_path(pages.sparkSession, "warc")
@@ -179,10 +181,14 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, gap: int, with_payload
 def read_records(selected: DataFrame, folder: str, gap: int = GAP_BYTES, with_payload: bool = True) -> DataFrame:
     """The records of the selected index rows, read in merged byte ranges.
 
-    Ranges at most ``gap`` bytes apart are one read of at most 8 MB; a longer record is read
+    Ranges at most ``gap`` bytes apart are one read of at most 4 MB; a longer record is read
     alone. Payloads are checked against their digests.
+
+    - A row with a null file, offset or length names no record and gives none. A row given twice
+      is read and returned twice. No rows give no records.
     """
     n = pieces(selected.sparkSession)
-    sorted_rows = selected.select("file", "offset", "length").repartitionByRange(n, "file", "offset").sortWithinPartitions("file", "offset")
+    named = selected.select("file", "offset", "length").dropna()
+    sorted_rows = named.repartitionByRange(n, "file", "offset").sortWithinPartitions("file", "offset")
     schema = RECORDS if with_payload else RECORDS.removesuffix(", payload binary")
     return sorted_rows.mapInArrow(lambda it: _read(it, folder, gap, with_payload), schema)

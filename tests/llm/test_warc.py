@@ -63,3 +63,9 @@ def test_ranges_merge_near_neighbours():
 def test_empty_table(spark):
     index, folder = warc.write_archives(frame(spark, [(1, "u", "h")]).limit(0))
     assert warc.read_records(index, folder).collect() == []
+
+
+def test_index_rows_that_are_null_or_given_twice(spark):
+    index, folder = warc.write_archives(frame(spark, [(1, "u", "h"), (2, "v", "w")]))
+    odd = index.withColumn("file", F.when(F.col("page_id") == 1, F.col("file")))
+    assert [r.page_id for r in warc.read_records(odd.unionByName(odd), folder).collect()] == [1, 1]
