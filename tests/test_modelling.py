@@ -104,6 +104,21 @@ def test_mean_distance_matches_brute_force(spark, monkeypatch):
     assert row["rows"] == 70 and np.isclose(row["mean_distance"], full.sum() / (70 * 69))
 
 
+def test_mean_distance_moves_a_row_once(spark, monkeypatch):
+    monkeypatch.setattr(resample, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(resample, "RUN_BLOCKS", 3)
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(130, 3))
+    points = spark.createDataFrame([(int(i >= 90), i, [float(v) for v in r]) for i, r in enumerate(x)] + [(2, 900, [0.0, 1.0, 2.0])], "grp int, id bigint, x array<double>")
+    blocks = resample._packed_blocks(points)
+    assert blocks.agg(F.sum("n")).first()[0] == 131 and "Cartesian" in resample.mean_distance(points)._jdf.queryExecution().toString()
+    got = {r["grp"]: (r["rows"], r["mean_distance"]) for r in resample.mean_distance(points).collect()}
+    for g, a in ((0, x[:90]), (1, x[90:])):
+        full = np.sqrt(((a[:, None] - a[None]) ** 2).sum(2)).sum()
+        assert got[g][0] == len(a) and np.isclose(got[g][1], full / (len(a) * (len(a) - 1)))
+    assert got[2] == (1, 0.0)
+
+
 def test_smote_rows_lie_on_segments(spark):
     points, x = cloud(spark)
     made = resample.smote(points, k=5).collect()
