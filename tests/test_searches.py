@@ -194,3 +194,34 @@ def test_fitted_measures_agree_with_the_predictions(spark, monkeypatch):
     curve = queries.pr_curve_fitted(spark, SMALL)
     assert curve.where("threshold is null").count() == len(said) == 2
     assert queries.grid_search_cv(spark, SMALL).count() == 3
+
+
+def test_splits_of_rows_are_those_of_histograms():
+    draw = np.random.default_rng(5)
+    bins, y, w = draw.integers(0, forest.BINS, (400, 6)).astype(np.uint8), draw.integers(0, 2, 400), draw.integers(1, 4, 400)
+    bins[:200, :3] = 7  # constant in some nodes
+    node = np.concatenate([np.repeat([0, 1], 100), draw.integers(2, 90, 200)])
+    node = np.unique(node, return_inverse=True)[1]
+    order = forest.feature_order(forest.child_keys(np.arange(1, node.max() + 2, dtype=np.uint64), 0), 6)
+    for drawn in (order[:, :2], order):
+        got, want = forest.row_splits(bins, y, w, node, drawn, 2), forest.best_splits(forest.histograms(bins, y, w, node, drawn), drawn, 2)
+        split = want[0] >= 0
+        assert (got[0] == want[0]).all() and (got[2] == want[2]).all() and (got[1] == want[1])[split].all() and split.any()
+
+
+def test_rows_are_scored_in_blocks(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        draw = np.random.default_rng(6)
+        data = [(i, int(draw.integers(0, 2)), i % 2, bytes(draw.integers(0, 8, 3).astype(np.uint8))) for i in range(300)]
+        rows = spark.createDataFrame(data, "id long, y long, fold int, bins binary").persist()
+        packs = forest.grow_forests(rows, [0, 1], 3, 3, 1)
+        got = {r["id"]: r for r in forest.score_forests(packs, rows, 1, 3, [1, 3], [None]).collect()}
+        blocks = rows.mapInArrow(forest._blocks, "fold int, ids array<bigint>, pack binary")
+        assert blocks.count() <= 2 * (300 // 50 + 8) and sorted(i for r in blocks.collect() for i in r["ids"]) == list(range(300))
+        trees = {(r["fold"], r["tree"]): forest._Tree([bytes(r["pack"])], forest.root_key(1, r["tree"])) for r in packs.collect()}
+        for i, _, f, b in data:
+            shares = [int(trees[f, t].shares(np.frombuffer(b, dtype=np.uint8)[None], [None])[0, 0]) for t in range(3)]
+            assert (got[i]["s0"], got[i]["s1"], got[i]["fold"]) == (shares[0], sum(shares), f)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
