@@ -225,3 +225,37 @@ def test_rows_are_scored_in_blocks(spark):
             assert (got[i]["s0"], got[i]["s1"], got[i]["fold"]) == (shares[0], sum(shares), f)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("kind", ["logreg", "svm"])
+def test_one_pass_sums_every_state(kind):
+    import pyarrow as pa
+
+    draw = np.random.default_rng(7)
+    x, y, fold = draw.normal(size=(1300, 4)), draw.integers(0, 2, 1300), draw.integers(0, 3, 1300)
+    batch = pa.RecordBatch.from_pydict({"x": pa.array(list(x)), "y": pa.array(y.astype(float)), "fold": pa.array(fold.astype(np.int32))})
+    folds, width = [0, 1, 2, -1], 0.5
+    weights, steps = draw.normal(size=(4, 2, 5)), draw.normal(size=(4, 2, 5))
+    upper, one = np.triu_indices(5), np.concatenate([x, np.ones((1300, 1))], axis=1)
+    calls = []
+    square = linear._square
+    linear._square = lambda rows: calls.append(len(rows)) or square(rows)
+    try:
+        live = np.ones(8, dtype=bool)
+        sums = np.array(list(linear._pass(iter([batch]), kind, folds, weights, width, None, None, live))[0].column("sums").to_pylist())
+        tried = np.array(list(linear._pass(iter([batch]), kind, folds, weights, width, None, steps, live))[0].column("sums").to_pylist())
+        same = np.repeat(weights[:1], 4, axis=0)
+        calls.clear()
+        list(linear._pass(iter([batch]), kind, folds, same, width, None, None, live))
+    finally:
+        linear._square = square
+    if kind == "svm":  # states that agree on their rows share the products of each cost
+        assert sum(calls) <= 2 * 1300
+    for i, f in enumerate(folds):
+        rows, sign = one[fold != f], 2.0 * y[fold != f] - 1.0
+        for c in range(2):
+            z, dz = rows @ weights[i, c] * sign, rows @ steps[i, c] * sign
+            loss, slope, bend = linear.LOSSES[kind](z, width)
+            want = [loss.sum(), np.maximum(0, 1 - z).sum(), -slope.sum(), *(rows.T @ (slope * sign)), *((rows * bend[:, None]).T @ rows)[upper]]
+            assert np.allclose(sums[2 * i + c], want, rtol=1e-10, atol=1e-9)
+            assert np.allclose(tried[2 * i + c], [linear.LOSSES[kind](z + t * dz, width)[0].sum() for t in linear.SHARES], rtol=1e-10)
