@@ -1,7 +1,7 @@
 """Token ids by the tokenizers library, whole texts, with a word cache.
 
 A tokenizer that cuts at white space before its merges gives a word the same ids in any
-text, so each distinct word is encoded once per worker. That holds for two kinds of file,
+text, so each distinct word is encoded once as long as a worker's cache holds it. That holds for two kinds of file,
 told by their settings: byte-level with its own pattern (a space belongs to the word after
 it), and letters, digits and marks by pattern with white space dropped. Any other kind, and
 any text with unusual white space, is encoded whole.
@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -22,7 +21,12 @@ import pyarrow.compute as pc
 MARKS = ".,!?;:%$#&*|()[]{}\"-_=+/\\@^~`<>"  # no letters, digits, white space or apostrophes
 #: The pattern of the tokenizer kind whose white space is dropped.
 DROPPING = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-CACHE_WORDS = 250_000  # in each of two generations
+#: What keeps a text from being encoded word by word: white space at an end, two in a row, or
+#: any other than a space or newline (as ``str.split`` sees it).
+UNUSUAL = (
+    r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+CACHE_WORDS = 800_000  # about 60 bytes each
 
 
 class Cut(NamedTuple):
@@ -40,25 +44,19 @@ class Encoder:
             said = json.load(f)
         self.kind = _kind(said)
         self.special = [t["content"] for t in said["added_tokens"]]
-        self.cache: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}  # words not met since the cache was last full
+        self.keys, self.ids = pa.array([], pa.large_binary()), pa.array([], pa.large_binary())  # the cache
+        self.used = np.zeros(0, dtype=bool)  # which of it was met again since
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
-        if len(self.cache) > CACHE_WORDS:
-            self.older, self.cache = self.cache, {}
         texts = [t or "" for t in texts]
-        alone = np.fromiter(map(self._by_words, texts), dtype=bool, count=len(texts))
+        alone = self._by_words(texts)
         words = self._cut([t.encode() if w else b"" for t, w in zip(texts, alone)])
         coded = words.array.dictionary_encode()
-        parts, found = self._parts(coded.dictionary)
-        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) >> 2
-        ids, first = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(size) - size
-        part = parts[np.asarray(coded.indices, dtype=np.int64)].ravel()
-        count = size[part]
-        ends = np.cumsum(count)
-        out = ids[np.repeat(first[part] - ends + count, count) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        total = np.r_[0, ends][2 * words.first]
+        found = self._ids(coded.dictionary).take(coded.indices)
+        ends = np.frombuffer(found.buffers()[1], dtype=np.int64, count=len(found) + 1) >> 2
+        out = np.frombuffer(found.buffers()[2] or b"", dtype="<u4", count=int(ends[-1]))
+        total = ends[words.first]
         counts = np.diff(total)
         if alone.all():
             return out, counts
@@ -69,11 +67,11 @@ class Encoder:
             counts[i] = len(pieces[i])
         return np.concatenate(pieces), counts
 
-    def _by_words(self, text: str) -> bool:
-        """Whether the words of a text can be encoded each by itself."""
+    def _by_words(self, texts: list[str]) -> np.ndarray:
+        """Whether the words of each text can be encoded each by itself."""
         if self.kind == "leading":
-            return " ".join(text.split()) == text.replace("\n", " ")
-        return self.kind == "dropping"
+            return ~np.asarray(pc.match_substring_regex(pa.array(texts, pa.large_string()), UNUSUAL), dtype=bool)
+        return np.full(len(texts), self.kind == "dropping")
 
     def _cut(self, texts: list[bytes]) -> Cut:
         """Every text cut before each space and newline, which stay with the word after them."""
@@ -86,11 +84,11 @@ class Encoder:
         array = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
         return Cut(array, np.searchsorted(offsets, ends))
 
-    def _parts(self, words: pa.Array) -> tuple[np.ndarray, list[bytes]]:
-        """Two parts of each word, and the ids of every part.
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """The ids of each word, as bytes.
 
         A run of letters before marks is a part by itself, and so are the marks; any other word
-        is one part. The first part of the list is empty.
+        is one part.
         """
         text = words.cast(pa.large_string())
         body = pc.utf8_ltrim(text, " \n")
@@ -110,27 +108,39 @@ class Encoder:
             head = pc.binary_join_element_wise(lead, core, pa.scalar(b"", pa.large_binary()))
         heads = head.filter(pa.array(split)).dictionary_encode()
         odd = words.filter(pa.array(~split))
-        out = np.zeros((len(words), 2), dtype=np.int64)
-        out[split, 0] = 1 + np.asarray(heads.indices)
-        out[marked, 1] = 1 + len(heads.dictionary) + np.asarray(tails.indices)
-        out[~split, 0] = 1 + len(heads.dictionary) + len(tails.dictionary) + np.arange(len(odd))
-        return out, [
-            b"", *self._known(heads.dictionary, self._encode_letters), *self._known(tails.dictionary, self._library), *self._known(odd, self._library),
-        ]
-
-    def _known(self, parts: pa.Array, learn: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
-        """The ids of parts, from the cache or learned."""
-        keys = parts.to_pylist()
-        found = list(map(self.cache.get, keys))
-        missing = [i for i, v in enumerate(found) if v is None]
-        if self.older and missing:
-            for i in missing:
-                if (v := self.older.get(keys[i])) is not None:
-                    found[i] = self.cache[keys[i]] = v
-            missing = [i for i in missing if found[i] is None]
-        for i, v in zip(missing, learn([keys[i] for i in missing])):
-            found[i] = self.cache[keys[i]] = v
-        return found
+        none = pa.array([b""], pa.large_binary())
+        parts = pa.concat_arrays([none, heads.dictionary, tails.dictionary, odd])
+        first, second = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        first[split] = 1 + np.asarray(heads.indices)
+        second[marked] = 1 + len(heads.dictionary) + np.asarray(tails.indices)
+        first[~split] = 1 + len(heads.dictionary) + len(tails.dictionary) + np.arange(len(odd))
+        known = self._known(parts, 1 + len(heads.dictionary))
+        return pc.binary_join_element_wise(known.take(pa.array(first)), known.take(pa.array(second)), none[0])
+
+    def _known(self, parts: pa.Array, letters: int) -> pa.Array:
+        """The ids of parts, from the cache or learned; the first ``letters`` parts are runs of letters.
+
+        A full cache keeps the parts met again since they were learned or it was last full, or
+        none if those are too many.
+        """
+        if len(self.keys) > CACHE_WORDS:
+            kept = pa.array(self.used)
+            self.keys, self.ids = self.keys.filter(kept), self.ids.filter(kept)
+            self.used = np.zeros(len(self.keys), dtype=bool)
+            if len(self.keys) > 3 * CACHE_WORDS // 4:
+                self.keys, self.ids, self.used = self.keys[:0], self.ids[:0], self.used[:0]
+        at = pc.index_in(parts, value_set=self.keys)
+        missing = np.flatnonzero(np.asarray(at.is_null()))
+        cut = int(np.searchsorted(missing, letters))
+        new = parts.take(pa.array(missing))
+        keys = new.to_pylist()
+        learned = pa.array(self._encode_letters(keys[:cut]) + self._library(keys[cut:]), pa.large_binary())
+        self.used[np.asarray(at.drop_null())] = True
+        at = np.array(at.fill_null(0), dtype=np.int64)
+        at[missing] = len(self.keys) + np.arange(len(missing))
+        self.keys, self.ids = pa.concat_arrays([self.keys, new]), pa.concat_arrays([self.ids, learned])
+        self.used = np.r_[self.used, np.zeros(len(missing), dtype=bool)]
+        return self.ids.take(pa.array(at))
 
     def _encode_letters(self, heads: list[bytes]) -> list[bytes]:
         """Letters go to the model at once if their case and composition are beyond doubt."""
@@ -144,7 +154,7 @@ class Encoder:
                 text = (text.lower() if lower else text).encode().decode("latin-1").translate(BYTE_LETTERS)
             else:
                 text = "\n"
-            if text[0] == "\n":
+            if text[:1] == "\n":
                 rest.append(i)
             else:
                 out[i] = array("I", [t.id for t in tokenize(text)]).tobytes()
