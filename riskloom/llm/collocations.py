@@ -6,8 +6,10 @@ its first word leads, so a ROLLUP over the lead columns adds up the counts of ev
 phrase.
 
 Windows are cut where no frequent phrase can go on: at a word, or at two to four neighbours,
-whose hash slot holds fewer than ``least`` occurrences. Slots are bitmaps of fixed size, counted
-over the whole corpus; words that share a slot only make windows longer than they need be.
+whose hash slot holds fewer than ``least`` occurrences, counted over the whole corpus. There are
+2^32 slots, so that rare phrases of a large corpus don't add up to a frequent slot. Tasks look
+frequent slots up in bitmaps of fixed size; words that share a slot or a bit only make windows
+longer than they need be.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import GOLD, chunks, mix, ready, settle
 
 LONGEST = 5
-#: Slots for runs of one to four words, a bit each: 26 MB in every task, at any size of the corpus.
+COUNTED = 1 << 32  # slots in which runs of a width are counted
+#: Bits that hold the frequent slots of one to four words: 26 MB in every task, at any size of the corpus.
 SLOTS = (1 << 24, 1 << 26, 1 << 26, 1 << 26)
 HELD_ROWS = 1 << 19  # counted windows that a task holds to add up those of several chunks
 
@@ -78,7 +81,7 @@ class Chunk(Pieces):
         h = self.key
         for i in range(1, width):
             h = mix(h[:-1] * GOLD + self.key[i:])
-        return (h & np.uint64(SLOTS[width - 1] - 1)).astype(np.int64)
+        return (h & np.uint64(COUNTED - 1)).astype(np.int64)
 
     def hopeful(self, width: int, bitmaps: list[np.ndarray]) -> np.ndarray:
         """Whether each run of ``width`` words in one piece is frequent as far as shorter ones say."""
@@ -98,15 +101,21 @@ class Chunk(Pieces):
 
 
 def _holds(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    slots = slots & (8 * len(bitmap) - 1)
     return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def _as_int(slots: np.ndarray) -> pa.Array:
+    """Slots as 32-bit numbers, the upper half of them negative."""
+    return pa.array(slots.astype(np.uint32).view(np.int32))
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         chunk = Chunk(batch)
-        keys, n = np.unique(chunk.lang * SLOTS[0] + chunk.slots(1), return_counts=True)
+        keys, n = np.unique(chunk.lang * COUNTED + chunk.slots(1), return_counts=True)
         yield pa.RecordBatch.from_pydict({
-            "lang": chunk.langs.take(pa.array(keys // SLOTS[0])), "slot": pa.array(keys % SLOTS[0], pa.int32()), "n": pa.array(n, pa.int64()),
+            "lang": chunk.langs.take(pa.array(keys // COUNTED)), "slot": _as_int(keys % COUNTED), "n": pa.array(n, pa.int64()),
         })
 
 
@@ -116,7 +125,7 @@ def _run_counts(batches: Iterator[pa.RecordBatch], width: int, bitmaps: list) ->
         if len(chunk.code) < width:
             continue
         slots, n = np.unique(chunk.slots(width)[chunk.hopeful(width, [b.value for b in bitmaps])], return_counts=True)
-        yield pa.RecordBatch.from_pydict({"slot": pa.array(slots, pa.int32()), "n": pa.array(n, pa.int64())})
+        yield pa.RecordBatch.from_pydict({"slot": _as_int(slots), "n": pa.array(n, pa.int64())})
 
 
 def _added(tables: list[pa.Table]) -> pa.Table:
@@ -156,10 +165,11 @@ def _counted_windows(chunk: Chunk, bitmaps: list[np.ndarray]) -> pa.Table:
 
 
 def _bitmap(slots: DataFrame, size: int) -> np.ndarray:
-    """A bit for each slot of the column ``slot``: at most size / 64 rows reach the driver."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("slot") % 64).cast("int"))
+    """The bits of the slots in the column ``slot``: at most size / 64 rows reach the driver."""
+    slot = F.col("slot").bitwiseAND(size - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
     words = np.zeros(size // 64, dtype=np.int64)
-    found = slots.select(F.floor(F.col("slot") / 64).cast("int").alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    found = slots.select(F.floor(slot / 64).cast("int").alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     words[np.asarray(found["at"], dtype=np.int64)] = np.asarray(found["bits"])
     return words.view(np.uint8)
 
