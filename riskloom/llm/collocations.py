@@ -5,16 +5,18 @@ with nulls. Only these longest windows are counted. A phrase is a prefix of the
 its first word leads, so a ROLLUP over the lead columns adds up the counts of every shorter
 phrase.
 
-Windows are cut where no frequent phrase can go on: at a word, or at two to four neighbours,
-whose hash slot holds fewer than ``least`` occurrences, counted over the whole corpus. There are
-2^32 slots, so that rare phrases of a large corpus don't add up to a frequent slot. Tasks look
-frequent slots up in bitmaps of fixed size; words that share a slot or a bit only make windows
-longer than they need be.
+Single words are counted first, as they are. Windows are cut where no frequent phrase can go on:
+at a word, or at two to four neighbours whose hash slot holds fewer than ``least`` occurrences,
+counted over the whole corpus. What is left as a single word is counted already and makes no
+window. There are 2^32 slots, so that rare phrases of a large corpus don't add up to a frequent
+slot. Tasks look frequent slots up in bitmaps of fixed size; phrases that share a slot or a bit
+only make windows longer than they need be.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ _GAP, _END = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _GAP[[0x20, 0x09]] = True
 _END[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 
-_COUNTS = "lang string, slot int, n long"
+_COUNTS = "lang string, word string, n long"
 _WINDOWS = "lang string, " + ", ".join(f"{w} string" for w in LEADS) + ", n long"
 
 
@@ -72,9 +74,13 @@ class Chunk(Pieces):
         coded = batch.column("lang").dictionary_encode()
         self.langs, of_doc = coded.dictionary, np.asarray(coded.indices, dtype=np.int64)
         self.lang = of_doc[self.doc]
-        seeds = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in self.langs.to_pylist()), dtype=np.uint64, count=len(self.langs))
         self.known: dict[int, np.ndarray] = {}
-        self.key = mix((self.hashes()[self.code] if len(self.code) else np.zeros(0, dtype=np.uint64)) ^ seeds[self.lang])
+
+    @cached_property
+    def key(self) -> np.ndarray:
+        """A hash of each word and its language."""
+        hashes = self.hashes()[self.code] if len(self.code) else np.zeros(0, dtype=np.uint64)
+        return mix(hashes ^ _seeds(self.langs)[self.lang])
 
     def slots(self, width: int) -> np.ndarray:
         """The slot of each run of ``width`` words; a run may pass the end of its piece."""
@@ -86,7 +92,7 @@ class Chunk(Pieces):
     def hopeful(self, width: int, bitmaps: list[np.ndarray]) -> np.ndarray:
         """Whether each run of ``width`` words in one piece is frequent as far as shorter ones say."""
         if width == 1:
-            return np.ones(len(self.key), dtype=bool)
+            return np.ones(len(self.code), dtype=bool)
         shorter = self.frequent(width - 1, bitmaps)
         return shorter[:-1] & shorter[1:] & (self.piece[width - 1 :] == self.piece[: len(self.piece) - width + 1])
 
@@ -100,6 +106,10 @@ class Chunk(Pieces):
         return self.known[width]
 
 
+def _seeds(langs: pa.Array) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(x) for x in langs.to_pylist()), dtype=np.uint64, count=len(langs))
+
+
 def _holds(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
     slots = slots & (8 * len(bitmap) - 1)
     return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
@@ -113,12 +123,22 @@ def _as_int(slots: np.ndarray) -> pa.Array:
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         chunk = Chunk(batch)
-        keys, n = np.unique(chunk.lang * COUNTED + chunk.slots(1), return_counts=True)
+        kinds = max(1, len(chunk.words))
+        keys, n = np.unique(chunk.lang * kinds + chunk.code, return_counts=True)
         yield pa.RecordBatch.from_pydict({
-            "lang": chunk.langs.take(pa.array(keys // COUNTED)), "slot": _as_int(keys % COUNTED), "n": pa.array(n, pa.int64()),
+            "lang": chunk.langs.take(pa.array(keys // kinds)), "word": chunk.words.cast(pa.string()).take(pa.array(keys % kinds)), "n": pa.array(n, pa.int64()),
         })
 
 
+def _word_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The slot of each (lang, word), as ``Chunk.slots`` has it."""
+    for batch in batches:
+        langs = batch.column("lang").dictionary_encode()
+        words = np.fromiter(map(xxhash.xxh3_64_intdigest, batch.column("word").to_pylist()), dtype=np.uint64, count=batch.num_rows)
+        key = mix(words ^ _seeds(langs.dictionary)[np.asarray(langs.indices, dtype=np.int64)])
+        yield pa.RecordBatch.from_pydict({"slot": _as_int(key & np.uint64(COUNTED - 1))})
+
+
 def _run_counts(batches: Iterator[pa.RecordBatch], width: int, bitmaps: list) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         chunk = Chunk(batch)
@@ -148,8 +168,9 @@ def _windows(batches: Iterator[pa.RecordBatch], bitmaps: list) -> Iterator[pa.Re
 
 
 def _counted_windows(chunk: Chunk, bitmaps: list[np.ndarray]) -> pa.Table:
+    """Windows of two words or more, with their counts."""
     goes_on = [chunk.frequent(w, bitmaps) for w in range(1, min(LONGEST, len(chunk.code)) + 1)]
-    lead = np.flatnonzero(goes_on[0]) if goes_on else np.zeros(0, dtype=np.int64)
+    lead = np.flatnonzero(goes_on[1]) if len(goes_on) > 1 else np.zeros(0, dtype=np.int64)
     code = np.r_[chunk.code, np.zeros(LONGEST, dtype=np.int64)]
     columns = [code[lead].astype(np.int32)]
     for i in range(1, LONGEST):
@@ -181,19 +202,21 @@ def phrase_counts(documents: DataFrame, least: int = 100) -> tuple[DataFrame, Da
     """
     spark = ready(documents.sparkSession)
     docs = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    slots = settle(docs.mapInArrow(_word_counts, _COUNTS).groupBy("lang", "slot").agg(F.sum("n").alias("n")), "word-slots")
-    totals = slots.groupBy("lang").agg(F.sum("n").alias("n"))
-    bitmaps = [spark.sparkContext.broadcast(_bitmap(slots.where(F.col("n") >= least), SLOTS[0]))]
+    words = settle(docs.mapInArrow(_word_counts, _COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    known = words.where(F.col("n") >= least)
+    bitmaps = [spark.sparkContext.broadcast(_bitmap(known.select("lang", "word").mapInArrow(_word_slots, "slot int"), SLOTS[0]))]
     for width in range(2, len(SLOTS) + 1):
         met = docs.mapInArrow(lambda it, w=width, b=list(bitmaps): _run_counts(it, w, b), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
         bitmaps.append(spark.sparkContext.broadcast(_bitmap(met.where(F.col("n") >= least), SLOTS[width - 1])))
     windows = docs.mapInArrow(lambda it: _windows(it, bitmaps), _WINDOWS).groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
     level = LONGEST - F.bit_count(F.grouping_id())  # how many lead columns the row still has
     rolled = windows.rollup("lang", *LEADS).agg(F.sum("n").alias("f"), level.cast("int").alias("k")).where(F.col("f") >= least)
-    # a padded window stands for no phrase of its full width
+    # a padded window stands for no phrase of its full width; single words have counts of their own
     last = F.element_at(F.array(*LEADS), F.greatest("k", F.lit(1)))
-    phrases = settle(rolled.where((F.col("k") >= 1) & last.isNotNull()).select("lang", "k", F.slice(F.array(*LEADS), F.lit(1), F.col("k")).alias("ws"), "f"), "phrases")
-    return phrases, settle(totals, "word-totals")
+    longer = rolled.where((F.col("k") >= 2) & last.isNotNull()).select("lang", "k", F.slice(F.array(*LEADS), F.lit(1), F.col("k")).alias("ws"), "f")
+    single = known.select("lang", F.lit(1).alias("k"), F.array("word").alias("ws"), F.col("n").alias("f"))
+    return settle(longer.unionByName(single), "phrases"), settle(totals, "word-totals")
 
 
 #: floor(1000 a n / (l r)). Decimals of 38 digits hold the products of any counts below 10^17;

@@ -89,3 +89,20 @@ def test_rare_phrases_add_up_to_no_window(spark, monkeypatch):
         bitmaps.append(co._bitmap(frame_, co.SLOTS[width - 1]))
     assert counted(chunk, bitmaps).num_rows < 500  # 180,000 words of 150 kinds; before, most pairs went on
     assert rows(co.collocations(frame(spark, docs), 100)) == brute(docs)
+
+
+def test_words_counted_once_make_no_window(spark):
+    """A frequent word that leads no frequent pair is counted with the words, not again as a window."""
+    random.seed(7)
+    common = [f"c{i}" for i in range(300)]
+    docs = [("en" if i % 2 else None, " ".join(random.choices(common, k=2_000)) + ". to be or not. to be") for i in range(120)]
+    chunk = co.Chunk(co.pa.RecordBatch.from_pydict({"lang": [x or "und" for x, _ in docs], "text": [x for _, x in docs]}))
+    met = spark.createDataFrame([(x, w) for x in ("en", "und") for w in [*common, "to", "be"]], "lang string, word string")
+    bitmaps = [co._bitmap(met.mapInArrow(co._word_slots, "slot int"), co.SLOTS[0])]
+    assert chunk.frequent(1, bitmaps).sum() == 120 * 2_004  # slots of words are those of runs of one word
+    slots, n = co.np.unique(chunk.slots(2)[chunk.hopeful(2, bitmaps)], return_counts=True)
+    pairs = spark.createDataFrame([(int(s),) for s in co._as_int(slots[n >= 60]).to_pylist()], "slot int")
+    bitmaps.append(co._bitmap(pairs, co.SLOTS[1]))
+    made = co._counted_windows(chunk, bitmaps)
+    assert made.num_rows < 20 and made["w2"].null_count == 0  # before, 600 windows of one word
+    assert rows(co.collocations(frame(spark, docs), 60)) == brute(docs, 60)
