@@ -45,6 +45,25 @@ def test_growing_by_levels_over_tasks_gives_the_same_trees(binned):
     assert whole.keys() == parted.keys() and all(whole[t] == parted[t] for t in whole)
 
 
+def test_rows_are_not_dealt_out_for_every_tree(binned, monkeypatch):
+    rows, *_ = binned
+    plans = []
+    settle = forest.settle
+    monkeypatch.setattr(forest, "settle", lambda df, key: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settle(df, key))
+    monkeypatch.setattr(forest, "PACK_ROWS", 70)
+    packs = forest.grow_forests(rows, [-1, 0, 1], 4, 5, seed=1, local_rows=300)
+    assert packs.select("fold", "tree").distinct().count() == 12
+    assert "CartesianProduct" in plans[-1] and "Exchange" not in plans[-1]
+
+
+def test_tasks_take_nodes_up_to_their_rows():
+    small = {(f, t): [(np.uint64(k), 2, 40 + f) for k in (3, 5, 9)] for f in (-1, 0) for t in (0, 1)}
+    units = forest._units(small, 85)
+    assert [(t, {f: [k for k, _ in nodes] for f, nodes in left.items()}) for t, left in units] == [
+        (t, {-1: keys, 0: keys}) for t in (0, 1) for keys in ([3, 5], [9])
+    ]
+
+
 def test_a_cut_is_the_forest_grown_to_that_depth(binned):
     rows, *_ = binned
     full = forest.grow_forests(rows, [-1, 1], 6, 5, seed=2)
