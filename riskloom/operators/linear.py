@@ -27,7 +27,8 @@ ALL = -1
 GAP = 1e-3  # relative duality gap of a hinge fit
 WIDTHS = (4.0, 1.0, 0.3, 0.1, 0.03, 0.01, 0.003, 0.001, 0.0003)  # at first every row is on the curve
 SHARES = 0.6 ** np.arange(24)  # of a Newton step, tried in one pass
-BLOCK = 4_096
+BLOCK = 16_384  # the sums of a block are large: few of them are added up
+LIFT_ROWS = 64
 RUN = 512  # margins whose losses are summed at once: they stay in the cache
 
 
@@ -79,8 +80,12 @@ TOTALS = {"logreg": logistic_total, "svm": hinge_total}
 def _inputs(batch: pa.RecordBatch, lift: Lift | None) -> np.ndarray:
     """The inputs of a batch, through the lift if there is one, and a one for the intercept."""
     x = np.asarray(batch.column("x").flatten(), dtype=np.float64).reshape(batch.num_rows, -1)
-    x = x if lift is None else lift(x)
-    return np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    if lift is None:
+        return np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    one = np.ones((len(x), lift(x[:0]).shape[1] + 1))
+    for a in range(0, len(x), LIFT_ROWS):  # few enough to stay in the cache
+        one[a : a + LIFT_ROWS, :-1] = lift(x[a : a + LIFT_ROWS])
+    return one
 
 
 def _square(rows: np.ndarray) -> np.ndarray:
@@ -158,7 +163,9 @@ def _pass(batches: Iterator[pa.RecordBatch], kind: str, folds: list[int], weight
     if hess is not None:
         sums = np.concatenate([sums, hess[:, upper[0], upper[1]] / (width if kind == "svm" else 1.0)], axis=1)
     if seen:
-        yield pa.RecordBatch.from_pydict({"state": pa.array(np.arange(len(sums), dtype=np.int32)), "sums": pa.array(list(sums), pa.list_(pa.float64()))})
+        ends = pa.array(np.arange(len(sums) + 1, dtype=np.int32) * sums.shape[1])
+        lists = pa.ListArray.from_arrays(ends, pa.array(sums.ravel(), pa.float64()))
+        yield pa.RecordBatch.from_pydict({"state": pa.array(np.arange(len(sums), dtype=np.int32)), "sums": lists})
 
 
 def _collect(rows: DataFrame, kind: str, folds: list[int], weights: np.ndarray, width: float, lift: Lift | None, steps: np.ndarray | None = None, live: np.ndarray | None = None) -> np.ndarray:
