@@ -91,3 +91,23 @@ def test_spread_runs_nothing(spark):
     spark.sparkContext.setJobGroup("spread", "")
     spread(shuffled, "id")
     assert list(tracker.getJobIdsForGroup("spread")) == []
+
+
+def test_distances_of_blocks_are_summed_in_pieces():
+    import tracemalloc
+
+    draw = np.random.default_rng(9)
+    x, y = draw.normal(size=(700, 5)), draw.normal(size=(333, 5))
+    y[:40] = x[:40]
+
+    def total(a, b):
+        return np.sqrt(((a[:, None] - b[None]) ** 2).sum(2)).sum()
+
+    assert np.isclose(resample._pair_total(x, y, False), 2 * total(x, y), rtol=1e-7)
+    assert np.isclose(resample._pair_total(x, x, True), total(x, x), rtol=1e-12)
+    wide = draw.normal(size=(2_048, 20))
+    tracemalloc.start()
+    resample._pair_total(wide, wide, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20
