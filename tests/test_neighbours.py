@@ -67,3 +67,37 @@ def test_far_cells_are_not_visited(spark, monkeypatch):
     for n in (2_000, 4_000):
         found(spark, draw.uniform(0, 1, (n, 2)), range(n), [0] * n, 3)
     assert visits[1] < 2.6 * visits[0] < 2.6 * 2_000 * 8
+
+
+@pytest.mark.parametrize("far, single", [(0.0, True), (1e3, True), (1e9, False)])
+def test_a_visit_in_single_precision_misses_none(far, single):
+    draw = np.random.default_rng(7)
+    y, x = draw.normal(far, 1, (500, 6)), draw.normal(far, 1, (90, 6))
+    y[40], y[60:90] = x[0], y[20]  # copies
+    if not single:
+        y[:250] -= far  # the shelf is so wide that single precision can't tell
+    others, ids = np.arange(500), np.arange(500, 590)
+    exact = ((x[:, None] - y[None]) ** 2).sum(2)
+    nearest = np.sort(exact, axis=1)[:, 2]
+    visit = neighbours.Shelf(y, others).visit(ids, x, np.sqrt(nearest), 3)
+    assert visit.y.dtype == (np.float32 if single else np.float64)
+    for at in range(0, 500, 128):
+        visit.meet(np.arange(90), slice(at, min(at + 128, 500)))
+    kept = set(zip(*visit.candidates()))
+    assert {(r, c) for r, c in zip(*np.nonzero(exact <= nearest[:, None]))} <= kept
+    assert not single or len(kept) < 2 * 90 * (3 + 30)
+
+
+def test_comparing_with_many_cells_holds_little():
+    import tracemalloc
+
+    draw = np.random.default_rng(8)
+    pivot = draw.normal(size=(4_096, 8))
+    cells = neighbours.Cells(np.zeros(4_096, dtype=int), pivot, float((pivot**2).sum(1).max()))
+    x = draw.normal(size=(1_024, 8))
+    tracemalloc.start()
+    placed = cells.place(0, x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (placed == ((x[:, None] - pivot[None]) ** 2).sum(2).argmin(1)).all()
+    assert peak < 5 * 8 * neighbours.ROOM
