@@ -49,11 +49,12 @@ def test_rows_are_not_dealt_out_for_every_tree(binned, monkeypatch):
     rows, *_ = binned
     plans = []
     settle = forest.settle
-    monkeypatch.setattr(forest, "settle", lambda df, key: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settle(df, key))
-    monkeypatch.setattr(forest, "PACK_ROWS", 70)
+    monkeypatch.setattr(forest, "settle", lambda df, key: plans.append((df._jdf.queryExecution().executedPlan().toString(), df.rdd.getNumPartitions())) or settle(df, key))
+    monkeypatch.setattr(forest, "UNITS", 3)
     packs = forest.grow_forests(rows, [-1, 0, 1], 4, 5, seed=1, local_rows=300)
     assert packs.select("fold", "tree").distinct().count() == 12
-    assert "CartesianProduct" in plans[-1] and "Exchange" not in plans[-1]
+    assert not any("Exchange" in p for p, _ in plans[1:])
+    assert 3 in [n for _, n in plans[1:]]  # tasks of one round
 
 
 def test_tasks_take_nodes_up_to_their_rows():
